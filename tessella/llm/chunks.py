@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .words import mix, powers
 
@@ -101,7 +102,7 @@ def as_text(codes: np.ndarray) -> str:
     return codes.astype(">u8").tobytes().hex()
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _fingerprint(texts: pa.Array) -> pa.Array:
     return pa.array([as_text(x) for x in fingerprints([(t or "").encode() for t in texts.to_pylist()])], pa.string())
 

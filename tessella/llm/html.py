@@ -13,6 +13,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -232,7 +233,7 @@ def main_text(html: str | None) -> str:
     return "\n".join(out)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _extracted(column: pa.Array) -> pa.Array:
     return pa.array([main_text(x) for x in column.to_pylist()], pa.string())
 
