@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import bloom, components, in_bloom, keep, stored
 from .words import set_id, shingles
 
+#: Centres tried for each token in a round, and rounds; more of them only save work later.
+CENTRES, ROUNDS = 8, 1
 #: Cells of the frequency sketch; the driver and each worker hold this many counts, however large the corpus.
 SKETCH_BITS = 18
 
@@ -115,38 +117,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     ranks = _sketch(docs, k)
     rows = stored(_prefixes(docs, k, percent, ranks), "prefixes")
+    need = _shared_sql(f"ceil({percent} * n / 100)")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
 
-    postings = rows.filter("size(prefix) > 0").select("set_id", "n", F.explode("prefix").alias("token"))
-    ends = postings.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.min_by("n", "set_id").alias("lo_n"), F.max_by("n", "set_id").alias("hi_n")).filter("lo < hi")
-    # a set met by several tasks lists its tokens once in each
-    postings = keep(postings.join(ends, "token").distinct())
-
-    centres = postings.select("set_id", "n", F.col("lo").alias("v"), F.col("lo_n").alias("vn")).unionByName(postings.select("set_id", "n", F.col("hi").alias("v"), F.col("hi_n").alias("vn")))
-    star = (
-        centres.filter((F.col("set_id") != F.col("v")) & (100 * F.least("n", "vn") >= percent * F.greatest("n", "vn")))
-        .groupBy(F.greatest("set_id", "v").alias("u"), F.least("set_id", "v").alias("v"))
-        .agg(F.count("*").alias("shared"), F.min("n").alias("n"))
-        .filter(F.col("shared") >= _shared_sql(f"ceil({percent} * n / 100)"))
-    )
-    star = keep(star.select("u", "v"))
-    tokens = stored(_tokens(docs, k, postings.select("set_id").distinct()), "tokens")
-    links = keep(_verified(star, tokens, percent))
-    groups = components(links)
+    # tokens that another set has too; both sides of the semi-join read one and the same shuffle
+    listed = rows.filter("size(prefix) > 0").select("set_id", F.explode("prefix").alias("token"))
+    met = (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id"))
+    shared = keep(listed.alias("x").join(listed.alias("y"), met, "left_semi").select("token", "set_id").distinct())
+    # a set that shares too few of them links with nothing; without it, others may share too few
+    for _ in range(2):
+        enough = shared.groupBy("set_id").agg(F.count("*").alias("held")).join(sets, "set_id").filter(F.col("held") >= need).select("set_id", "n")
+        shared = shared.select("token", "set_id").join(enough, "set_id")
+        several = shared.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo < hi").select("token")
+        shared = keep(shared.join(several, "token"))
+    tokens = stored(_tokens(docs, k, keep(shared.select("set_id").distinct())), "tokens")
+
+    # groups: sets linked to a few centres that all holders of a token agree on, in rounds with other centres
+    links, named = None, shared.withColumn("grp", F.col("set_id"))
+    for turn in range(ROUNDS):
+        found = keep(_verified(_to_centres(named, turn, percent, need), tokens, percent))
+        links = found if links is None else links.unionByName(found)
+        groups = components(links)
+        named = keep(shared.join(groups, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")))
 
     # the matrix: for each token the groups that hold it; a query set asks the groups after its own
-    named = keep(postings.select("token", "set_id", "n").join(groups, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")))
     matrix = named.select("token", F.col("grp").alias("other")).distinct()
     spread = matrix.groupBy("token").agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a < b").select("token")
     asked = (
         named.join(spread, "token", "left_semi").join(matrix.join(spread, "token", "left_semi"), "token").filter("other > grp")
-        .groupBy("set_id", "other").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
-        .filter(F.col("shared") >= _shared_sql(f"ceil({percent} * n / 100)"))
+        .groupBy("set_id", "other").agg(F.count("*").alias("held"), F.max("n").alias("n")).filter(F.col("held") >= need)
     )
-    asked = keep(asked.select("set_id", "n", "other"))
-    members = named.select("grp", "set_id", "n").distinct()
-    opened = _open(asked, members, tokens, percent)
-    links = links.unionByName(_verified(opened, tokens, percent))
+    members = named.select(F.col("grp").alias("other"), F.col("set_id").alias("v"), F.col("n").alias("vn")).distinct()
+    opened = asked.join(members, "other").filter(F.lit(100) * F.least("n", "vn") >= percent * F.greatest("n", "vn"))
+    links = links.unionByName(_verified(opened.select(F.col("set_id").alias("u"), "v"), tokens, percent))
 
     joined = components(keep(links))
     named_sets = sets.join(joined, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "set_id").alias("component"))
@@ -156,18 +159,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _open(asked: DataFrame, members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of a query set and the members of each group whose token union covers enough of it."""
-    queries = asked.join(tokens, "set_id").select("set_id", "n", "other", F.explode("tokens").alias("token"))
-    wanted = asked.select("other").distinct()
-    union = (
-        members.join(wanted, F.col("grp") == F.col("other"), "left_semi").join(tokens, "set_id")
-        .select(F.col("grp").alias("other"), F.explode("tokens").alias("token")).distinct()
-    )
-    covered = queries.join(union, ["other", "token"]).groupBy("set_id", "other").agg(F.count("*").alias("covered"), F.max("n").alias("n")).filter(F.lit(100) * F.col("covered") >= percent * F.col("n"))
-    inside = members.select(F.col("grp").alias("other"), F.col("set_id").alias("v"), F.col("n").alias("vn"))
-    pairs = covered.join(inside, "other").filter(F.lit(100) * F.least("n", "vn") >= percent * F.greatest("n", "vn"))
-    return pairs.select(F.col("set_id").alias("u"), "v")
+def _to_centres(named: DataFrame, turn: int, percent: int, need: Column) -> DataFrame:
+    """Pairs (u, v) of a set and the centres of its tokens in other groups, if they share enough tokens."""
+    places = range(turn * CENTRES, (turn + 1) * CENTRES)
+    centres = named.groupBy("token").agg(*(F.min(F.struct(F.xxhash64("set_id", F.lit(j)).alias("h"), "set_id", "n", "grp")).alias(f"c{j}") for j in places), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+    rows = named.join(centres.filter("lo < hi"), "token").select("set_id", "n", "grp", F.explode(F.array_distinct(F.array(*(f"c{j}" for j in places)))).alias("c"))
+    rows = rows.filter((F.col("c.grp") != F.col("grp")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
+    pairs = rows.groupBy("set_id", F.col("c.set_id").alias("v")).agg(F.count("*").alias("held"), F.min("n").alias("n")).filter(F.col("held") >= need)
+    return pairs.select(F.greatest("set_id", "v").alias("u"), F.least("set_id", "v").alias("v")).distinct()
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
