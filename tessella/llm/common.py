@@ -30,19 +30,35 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def _sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner see which shuffles and checkpoints nothing refers to any more, so that their files go now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cut the lineage at a reliable checkpoint, so that a lost executor costs no recomputation of what came before."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _sweep(df.sparkSession)
+    return out
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage at a Parquet table in the shared folder; for wide rows, which compress there."""
+    """Cut the lineage at a Parquet table in the shared folder; for many or wide rows, which compress there."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/tessella/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _sweep(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a stored table that nothing will read again."""
+    files = df.inputFiles()
+    if files:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bits of a Bloom bitmap: a proven bound of 1 MB on what is sent to the executors, whatever the input's size.
 BLOOM_BITS = 23
 

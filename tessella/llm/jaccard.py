@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, components, in_bloom, keep, stored
+from .common import bloom, components, forget, in_bloom, keep, stored
 from .words import set_id, shingles
 
 #: Centres tried for each token in a round, and rounds; more of them only save work later.
@@ -123,13 +123,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # tokens that another set has too; both sides of the semi-join read one and the same shuffle
     listed = rows.filter("size(prefix) > 0").select("set_id", F.explode("prefix").alias("token"))
     met = (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id"))
-    shared = keep(listed.alias("x").join(listed.alias("y"), met, "left_semi").select("token", "set_id").distinct())
+    shared = stored(listed.alias("x").join(listed.alias("y"), met, "left_semi").select("token", "set_id").distinct(), "shared")
     # a set that shares too few of them links with nothing; without it, others may share too few
     for _ in range(2):
         enough = shared.groupBy("set_id").agg(F.count("*").alias("held")).join(sets, "set_id").filter(F.col("held") >= need).select("set_id", "n")
         shared = shared.select("token", "set_id").join(enough, "set_id")
         several = shared.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo < hi").select("token")
-        shared = keep(shared.join(several, "token"))
+        before, shared = shared, stored(shared.join(several, "token"), "shared")
+        forget(before)
     tokens = stored(_tokens(docs, k, keep(shared.select("set_id").distinct())), "tokens")
 
     # groups: sets linked to a few centres that all holders of a token agree on, in rounds with other centres
@@ -138,7 +139,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         found = keep(_verified(_to_centres(named, turn, percent, need), tokens, percent))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
-        named = keep(shared.join(groups, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")))
+        named = stored(shared.join(groups, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")), "named")
 
     # the matrix: for each token the groups that hold it; a query set asks the groups after its own
     matrix = named.select("token", F.col("grp").alias("other")).distinct()
@@ -152,6 +153,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = links.unionByName(_verified(opened.select(F.col("set_id").alias("u"), "v"), tokens, percent))
 
     joined = components(keep(links))
+    for done in (tokens, shared, named):
+        forget(done)
     named_sets = sets.join(joined, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "set_id").alias("component"))
     least = named_sets.groupBy("component").agg(F.min("rep").alias("component_id"))
     named_sets = named_sets.join(least, "component").select("set_id", "component_id")
