@@ -18,13 +18,16 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import bloom, components, forget, in_bloom, keep, stored
 from .words import set_id, shingles
 
-#: Centres tried for each token in a round, and rounds; more of them only save work later.
-CENTRES, ROUNDS = 8, 1
+#: Centres tried for each token; more of them only save work later.
+CENTRES = 8
+#: Sets and tokens of a group, and queries that a task holds beside it; longer sets are a group of their own.
+PART, PART_TOKENS, QUERIES = 128, 1 << 18, 256
 #: Cells of the frequency sketch; the driver and each worker hold this many counts, however large the corpus.
 SKETCH_BITS = 18
 
@@ -116,14 +119,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     of its members have none.  Other columns of the input are ignored.  An empty table gives an empty result.
     """
     ranks = _sketch(docs, k)
-    rows = stored(_prefixes(docs, k, percent, ranks), "prefixes")
+    prefixes = stored(_prefixes(docs, k, percent, ranks), "prefixes")
+    rows = keep(prefixes.select("doc_id", "set_id", "n"))
     need = _shared_sql(f"ceil({percent} * n / 100)")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
 
     # tokens that another set has too; both sides of the semi-join read one and the same shuffle
-    listed = rows.filter("size(prefix) > 0").select("set_id", F.explode("prefix").alias("token"))
+    listed = prefixes.filter("size(prefix) > 0").select("set_id", F.explode("prefix").alias("token"))
     met = (F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id"))
     shared = stored(listed.alias("x").join(listed.alias("y"), met, "left_semi").select("token", "set_id").distinct(), "shared")
+    forget(prefixes)
     # a set that shares too few of them links with nothing; without it, others may share too few
     for _ in range(2):
         enough = shared.groupBy("set_id").agg(F.count("*").alias("held")).join(sets, "set_id").filter(F.col("held") >= need).select("set_id", "n")
@@ -133,24 +138,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         forget(before)
     tokens = stored(_tokens(docs, k, keep(shared.select("set_id").distinct())), "tokens")
 
-    # groups: sets linked to a few centres that all holders of a token agree on, in rounds with other centres
-    links, named = None, shared.withColumn("grp", F.col("set_id"))
-    for turn in range(ROUNDS):
-        found = keep(_verified(_to_centres(named, turn, percent, need), tokens, percent))
-        links = found if links is None else links.unionByName(found)
-        groups = components(links)
-        named = stored(shared.join(groups, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "n", F.coalesce("component", "set_id").alias("grp")), "named")
-
-    # the matrix: for each token the groups that hold it; a query set asks the groups after its own
-    matrix = named.select("token", F.col("grp").alias("other")).distinct()
-    spread = matrix.groupBy("token").agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a < b").select("token")
-    asked = (
-        named.join(spread, "token", "left_semi").join(matrix.join(spread, "token", "left_semi"), "token").filter("other > grp")
-        .groupBy("set_id", "other").agg(F.count("*").alias("held"), F.max("n").alias("n")).filter(F.col("held") >= need)
-    )
-    members = named.select(F.col("grp").alias("other"), F.col("set_id").alias("v"), F.col("n").alias("vn")).distinct()
-    opened = asked.join(members, "other").filter(F.lit(100) * F.least("n", "vn") >= percent * F.greatest("n", "vn"))
-    links = links.unionByName(_verified(opened.select(F.col("set_id").alias("u"), "v"), tokens, percent))
+    # sets that link to one of a few centres which all holders of a token agree on are in one component already
+    near = keep(_to_centres(shared, percent, need))
+    links = keep(_verified(near.select("u", "v"), tokens, percent))
+    groups = keep(_groups(shared, near, components(links)))
+    named = stored(shared.join(groups.drop("n"), "set_id"), "named")
+
+    # the matrix: the tokens that each group's members hold.  Of the tokens it holds a query set must share `need`, so it
+    # can leave out the need - 1 that most groups hold and still meet every partner; pairs are asked for from one side
+    matrix = named.select("token", F.col("grp").alias("other"), F.col("component").alias("c")).distinct()
+    wide = matrix.groupBy("token").agg(F.count("*").alias("wide"))
+    by_set = W.partitionBy("set_id")
+    query = named.join(wide, "token").withColumn("place", F.row_number().over(by_set.orderBy("wide", "token"))).withColumn("held", F.count("*").over(by_set))
+    query = query.filter(F.col("place") <= F.col("held") - need + 1).drop("place", "held", "wide")
+    asked = query.join(matrix, "token").filter("other >= grp and (c is null or component is null or c <> component)").select("set_id", "other").distinct()
+    links = links.unionByName(_opened(keep(asked), groups, tokens, percent))
 
     joined = components(keep(links))
     for done in (tokens, shared, named):
@@ -162,14 +164,67 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _to_centres(named: DataFrame, turn: int, percent: int, need: Column) -> DataFrame:
-    """Pairs (u, v) of a set and the centres of its tokens in other groups, if they share enough tokens."""
-    places = range(turn * CENTRES, (turn + 1) * CENTRES)
-    centres = named.groupBy("token").agg(*(F.min(F.struct(F.xxhash64("set_id", F.lit(j)).alias("h"), "set_id", "n", "grp")).alias(f"c{j}") for j in places), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-    rows = named.join(centres.filter("lo < hi"), "token").select("set_id", "n", "grp", F.explode(F.array_distinct(F.array(*(f"c{j}" for j in places)))).alias("c"))
-    rows = rows.filter((F.col("c.grp") != F.col("grp")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
-    pairs = rows.groupBy("set_id", F.col("c.set_id").alias("v")).agg(F.count("*").alias("held"), F.min("n").alias("n")).filter(F.col("held") >= need)
-    return pairs.select(F.greatest("set_id", "v").alias("u"), F.least("set_id", "v").alias("v")).distinct()
+def _to_centres(held: DataFrame, percent: int, need: Column) -> DataFrame:
+    """Pairs (u, v, held) of a set and the centres of its tokens, if they share enough tokens."""
+    centres = held.groupBy("token").agg(*(F.min(F.struct(F.xxhash64("set_id", F.lit(j)).alias("h"), "set_id", "n")).alias(f"c{j}") for j in range(CENTRES)))
+    rows = held.join(centres, "token").select("set_id", "n", F.explode(F.array_distinct(F.array(*(f"c{j}" for j in range(CENTRES))))).alias("c"))
+    rows = rows.filter((F.col("c.set_id") != F.col("set_id")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
+    pairs = rows.groupBy(F.col("set_id").alias("u"), F.col("c.set_id").alias("v")).agg(F.count("*").alias("held"), F.min("n").alias("n"))
+    return pairs.filter(F.col("held") >= need).select("u", "v", "held")
+
+
+def _groups(held: DataFrame, near: DataFrame, linked: DataFrame) -> DataFrame:
+    """(set_id, n, component, grp): components, and sets without one by the centre nearest to them, in bounded parts."""
+    centre = near.groupBy("u").agg(F.max_by("v", F.struct("held", "v")).alias("centre"))
+    sets = held.select("set_id", "n").distinct()
+    sets = sets.join(linked, F.col("set_id") == F.col("node"), "left").join(centre, F.col("set_id") == F.col("u"), "left")
+    home = F.xxhash64(F.col("component").isNull(), F.coalesce("component", "centre", "set_id"))
+    sets = keep(sets.select("set_id", "n", "component", home.alias("home")))
+    size = sets.groupBy("home").agg(F.ceil(F.count("*") / PART).alias("parts"), F.ceil(F.sum("n") / PART_TOKENS).alias("long"))
+    part = F.pmod(F.xxhash64("set_id"), F.greatest("parts", "long"))
+    return sets.join(size, "home").select("set_id", "n", "component", F.xxhash64("home", part).alias("grp"))
+
+
+def _opened(asked: DataFrame, groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between query sets and the members of the groups they ask, found group by group without pair rows.
+
+    A task holds one group, bounded by PART sets and about PART_TOKENS tokens, and a bounded part of its queries.
+    """
+    counts = asked.groupBy("other").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("shares"))
+    queries = asked.join(counts, "other").select("other", F.pmod(F.xxhash64("set_id"), F.col("shares")).cast("int").alias("share"), "set_id", F.lit(True).alias("asks"))
+    members = groups.join(counts, F.col("grp") == F.col("other")).select("other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set_id", F.lit(False).alias("asks"))
+    rows = queries.unionByName(members).join(tokens, "set_id").select("other", "share", "asks", "set_id", "tokens")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        asks = table["asks"].to_numpy()
+        names = table["set_id"].to_numpy()
+        lists = table["tokens"].combine_chunks() if isinstance(table["tokens"], pa.ChunkedArray) else table["tokens"]
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        inside = np.flatnonzero(~asks)
+        sizes = np.diff(ends)
+        held = np.concatenate([flat[ends[i] : ends[i + 1]] for i in inside]) if len(inside) else flat[:0]
+        owner = np.repeat(np.arange(len(inside)), sizes[inside])
+        order = np.argsort(held, kind="stable")
+        held, owner = held[order], owner[order]
+        union, first = np.unique(held, return_index=True)
+        last = np.append(first[1:], len(held))
+        us, vs = [], []
+        for q in np.flatnonzero(asks):
+            own = flat[ends[q] : ends[q + 1]]
+            at = np.minimum(np.searchsorted(union, own), max(len(union) - 1, 0))
+            at = at[union[at] == own] if len(union) else at[:0]
+            if 100 * len(at) < percent * len(own):
+                continue  # even the group's union covers too little of it
+            a, n = first[at], last[at] - first[at]
+            spots = np.repeat(a - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+            both = np.bincount(owner[spots], minlength=len(inside))
+            for i in np.flatnonzero(100 * both >= percent * (len(own) + sizes[inside] - both)):
+                if names[inside[i]] != names[q]:
+                    us.append(names[q])
+                    vs.append(names[inside[i]])
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    return rows.groupBy("other", "share").applyInArrow(run, "u long, v long")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
