@@ -27,7 +27,7 @@ from .words import set_id, shingles
 #: Centres tried for each token; more of them only save work later.
 CENTRES = 8
 #: Sets and tokens of a group, and queries that a task holds beside it; longer sets are a group of their own.
-PART, PART_TOKENS, QUERIES = 128, 1 << 18, 256
+PART, PART_TOKENS, QUERIES = 512, 1 << 18, 1024
 #: Cells of the frequency sketch; the driver and each worker hold this many counts, however large the corpus.
 SKETCH_BITS = 18
 
