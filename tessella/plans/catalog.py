@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import imagery, labelling, learning, search, spatial
+
+_PARTS = (search, labelling, spatial, imagery, learning)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: run for part in _PARTS for name, (run, _) in part.PLANS.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in _PARTS for name, (_, sql) in part.PLANS.queries.items() if sql}
