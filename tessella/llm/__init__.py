@@ -1,8 +1 @@
 """Operators for large-scale training-data pipelines.  Nothing else in the library imports this package."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# functions of this package travel to the executors by value, so these need no copy of it on their path
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

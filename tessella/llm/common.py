@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import components as components
+from ..sources.scratch import forget as forget
+from ..sources.scratch import keep as keep
+from ..sources.scratch import stored as stored
+
 #: Arrow batches handed to Python hold at most so many bytes, so that a worker's memory does not follow the row width.
 ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
@@ -19,46 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the cluster names none."""
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = context.getCheckpointDir() or tempfile.mkdtemp(prefix="tessella-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(found)
-    return found
-
-
-def _sweep(spark: SparkSession) -> None:
-    """Let Spark's cleaner see which shuffles and checkpoints nothing refers to any more, so that their files go now."""
-    spark.sparkContext._jvm.System.gc()
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a reliable checkpoint, so that a lost executor costs no recomputation of what came before."""
-    shared_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    _sweep(df.sparkSession)
-    return out
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage at a Parquet table in the shared folder; for many or wide rows, which compress there."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tessella/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _sweep(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Delete a stored table that nothing will read again."""
-    files = df.inputFiles()
-    if files:
-        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 #: Bits of a Bloom bitmap: a proven bound of 1 MB on what is sent to the executors, whatever the input's size.
 BLOOM_BITS = 23
 
@@ -83,30 +45,5 @@ def in_bloom(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bitmap[cell >> 6] >> (cell & 63)) & 1).astype(bool)
 
 
-def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """Connected components of an undirected graph as rows (node, component), the component being its smallest node.
-
-    Alternating star contraction: each round hangs every node's neighbours on the smallest of them, by joins and
-    aggregates that are split like any other; only two numbers a round reach the driver.  Nodes without an edge to
-    another node are absent from the result.
-    """
-    pairs = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u <> v").distinct()
-    pairs, before = keep(pairs), None
-    while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        pairs = keep(small.filter("u <> v").distinct())
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            return pairs.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(
-                pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        before = state
-
-
 def none_as_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
