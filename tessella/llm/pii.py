@@ -157,8 +157,8 @@ def _as_sql(tree: str) -> str:
 
 def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> tuple[str, dict[str, float]]:
     """The boosted trees as a SQL expression over FEATURES, and the score that a candidate of each kind must reach."""
-    made = _made_texts(spark, n)
-    rows = featured(candidates(made)).join(made.select("doc_id", "truth"), "doc_id").withColumn("y", (F.col("truth") == F.col("kind")).cast("double"))
+    made = keep(_made_texts(spark, n).coalesce(2))
+    rows = featured(keep(candidates(made))).join(made.select("doc_id", "truth"), "doc_id").withColumn("y", (F.col("truth") == F.col("kind")).cast("double"))
     rows = keep(rows.select("y", "kind", *FEATURES, (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).coalesce(2))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.filter("not held"))
     model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(vectors)
@@ -183,7 +183,9 @@ def spans(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) ->
     outscored by a neighbour that they overlap.
     """
     score, limits = model or fit(docs.sparkSession)
-    rows = featured(candidates(docs)).select("doc_id", "h", "kind", "start", "end", "strict", F.expr(score).alias("score"))
+    # candidates are few beside the texts; stored, their features are not written out again in each tree of the score
+    rows = keep(featured(keep(candidates(docs))).select("doc_id", "h", "kind", "start", "end", "strict", *FEATURES))
+    rows = rows.select("doc_id", "h", "kind", "start", "end", "strict", F.expr(score).alias("score"))
     limit = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in limits.items()))
     rows = rows.filter(F.col("strict") | (F.col("score") >= limit)).groupBy("doc_id", "h", "kind", "start", "end").agg(F.max("strict").alias("base"), F.max("score").alias("score"))
     text = W.partitionBy("doc_id", "h").orderBy("start", "end", "kind")
