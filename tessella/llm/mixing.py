@@ -16,10 +16,13 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import keep
+from .words import count_words
 
 #: Weights of the sources by code point, repeating; share of all words that the mix takes; most copies of a document.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
@@ -29,9 +32,14 @@ BLOCK = 4096
 EPSILON = 1e-9
 
 
-def words(text: str = "text") -> Column:
+@F.arrow_udf(T.LongType())
+def _words(column: pa.Array) -> pa.Array:
+    return pa.array(count_words(column), pa.int64())
+
+
+def words(text: str | Column = "text") -> Column:
     """Number of `[^\\x20\\x09-\\x0D]+` in a text; null has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return _words(text)
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> dict[str | None, float]:

@@ -122,3 +122,24 @@ def set_id(tokens: np.ndarray) -> int:
         return 0
     places = np.arange(1, len(tokens) + 1, dtype=np.uint64)
     return int(mix((mix(tokens + _STEP) * (places * _POSITION | np.uint64(1))).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0]) or 1
+
+
+def count_words(column: pa.Array) -> np.ndarray:
+    """Number of words of each row."""
+    data, offsets = utf8(column)
+    out = np.zeros(len(offsets) - 1, np.int64)
+    for at in range(0, len(data), BLOCK):
+        inside = ~WHITE[data[at : at + BLOCK]]
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1]
+        if at:
+            begin[0] &= WHITE[data[at - 1]]
+        row = np.searchsorted(offsets, [at, at + len(inside) - 1], "right") - 1
+        # a row's first byte starts a word whatever the row before ends with
+        first = offsets[row[0] : row[1] + 1]
+        first = first[(first >= at) & (first < at + len(inside))] - at
+        begin[first] = inside[first]
+        total = np.append(0, np.cumsum(begin))
+        ends = np.clip(offsets[row[0] : row[1] + 2] - at, 0, len(inside))
+        out[row[0] : row[1] + 1] += np.diff(total[ends])
+    return out
