@@ -11,8 +11,11 @@ learns its entry and exit state and is repaired on its own, so no conversation h
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -138,32 +141,56 @@ def _ends(blocks: DataFrame, fan: int = 256) -> DataFrame:
     return marked.join(ends, ["conv", "above"]).groupBy("conv", "above").applyInPandas(solve, schema)
 
 
-def _messages(turns: DataFrame, block: int) -> DataFrame:
-    """(conv, block, turn, role, new_role, action, inserted, first, last): the repair of each message."""
-    light = turns.select("conv", "block", "turn", "role").distinct()
+def _in_blocks(batches: Iterator[pa.RecordBatch], solve: Callable[[list[dict]], list[dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Applies `solve` to the rows of each block, which come one after another, and passes on its rows by the batch."""
+    held: list[dict] = []
+    out: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and (row["conv"], row["block"]) != (held[0]["conv"], held[0]["block"]):
+                out += solve(held)
+                held = []
+            held.append(row)
+        if len(out) >= BLOCK:
+            yield pa.RecordBatch.from_pylist(out, schema)
+            out = []
+    if held:
+        out += solve(held)
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema)
+
 
-    def measure(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"conv": [key[0]], "block": [key[1]], "matrix": [block_matrix([role_of(r) for r in _in_order(rows)["role"]]).ravel().tolist()]})
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")))
 
-    ends = _ends(keep(light.groupBy("conv", "block").applyInPandas(measure, "conv string, block long, matrix array<double>")))
 
-    def mend(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = _in_order(rows)
-        steps = repair([role_of(r) for r in rows["role"]], int(rows["entry"].iloc[0]), int(rows["leave"].iloc[0]))
-        return rows[["conv", "turn", "role"]].assign(
-            new_role=[STATES[s] for s, _, _ in steps], action=[a for _, a, _ in steps], inserted=[STATES[m] if m >= 0 else None for _, _, m in steps],
-            first=[k == 0 and e == START for k, e in enumerate(rows["entry"])], at=rows["block"], place=range(len(rows)),
-        )
+def _messages(turns: DataFrame) -> DataFrame:
+    """(conv, turn, role, new_role, action, inserted, first): the repair of each message.
+
+    Only conversations of several blocks need the matrices; all others are repaired in one pass.
+    """
+    light = turns.select("conv", "block", "turn", "role").distinct()
+    several = light.groupBy("conv").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("conv")
 
-    schema = "conv string, turn string, role string, new_role string, action string, inserted string, first boolean, at long, place long"
-    done = light.join(ends, ["conv", "block"]).groupBy("conv", "block").applyInPandas(mend, schema)
-    return done
+    def measure(rows: list[dict]) -> list[dict]:
+        return [{"conv": rows[0]["conv"], "block": rows[0]["block"], "matrix": block_matrix([role_of(r["role"]) for r in rows]).ravel().tolist()}]
 
+    def mend(rows: list[dict]) -> list[dict]:
+        said, (entry, leave) = [role_of(r["role"]) for r in rows], (rows[0]["entry"], rows[0]["leave"])
+        if entry is None:
+            entry, leave = path([block_matrix(said)])[0]
+        steps = repair(said, entry, leave)
+        return [
+            {"conv": r["conv"], "turn": r["turn"], "role": r["role"], "new_role": STATES[s], "action": a, "inserted": STATES[m] if m >= 0 else None, "first": k == 0 and entry == START}
+            for k, (r, (s, a, m)) in enumerate(zip(rows, steps, strict=True))
+        ]
 
-def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    """By turn, then role, nulls first; turns travel as text, since pandas has no whole numbers beside nulls."""
-    number = [-(1 << 63) if t is None else int(t) for t in rows["turn"]]
-    return rows.assign(number=number, name=rows["role"].fillna("")).sort_values(["number", "name"], kind="stable")
+    blocks = pa.schema([("conv", pa.string()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))])
+    matrices = _by_block(light.join(several, "conv", "left_semi")).mapInArrow(lambda it: _in_blocks(it, measure, blocks), "conv string, block long, matrix array<double>")
+    ends = _ends(keep(matrices))
+    done = pa.schema([("conv", pa.string()), ("turn", pa.int64()), ("role", pa.string()), ("new_role", pa.string()), ("action", pa.string()), ("inserted", pa.string()), ("first", pa.bool_())])
+    rows = _by_block(light.join(ends, ["conv", "block"], "left"))
+    return rows.mapInArrow(lambda it: _in_blocks(it, mend, done), "conv string, turn long, role string, new_role string, action string, inserted string, first boolean")
 
 
 def repaired(turns: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -179,9 +206,9 @@ def repaired(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     rows = turns.select(
         F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 52))).cast("long").alias("block"),
-        F.col("turn").cast("string").alias("turn"), "role", none_as_empty().alias("text"),
+        F.col("turn").cast("long").alias("turn"), "role", none_as_empty().alias("text"),
     )
-    steps = _messages(rows, block)
+    steps = _messages(rows)
     last = rows.groupBy("conv").agg(F.max(F.struct(F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 63))).alias("n"), F.coalesce("role", F.lit("")).alias("r"))).alias("last"))
     parts = W.partitionBy("conv", "turn", "role")
     numbered = rows.withColumn("part", F.row_number().over(parts.orderBy("text"))).withColumn("parts", F.count("*").over(parts))
