@@ -174,11 +174,14 @@ def _to_centres(held: DataFrame, percent: int, need: Column) -> DataFrame:
 
 
 def _groups(held: DataFrame, near: DataFrame, linked: DataFrame) -> DataFrame:
-    """(set_id, n, component, grp): components, and sets without one by the centre nearest to them, in bounded parts."""
-    centre = near.groupBy("u").agg(F.max_by("v", F.struct("held", "v")).alias("centre"))
+    """(set_id, n, component, grp): components, and sets without one by the centre that most of their like have, in
+    bounded parts: of a set and its centres the one that comes first in the first order that centres are chosen by."""
+    order = lambda c: F.struct(F.xxhash64(c, F.lit(0)), F.col(c))
+    centre = near.groupBy("u").agg(F.min_by("v", order("v")).alias("centre"))
     sets = held.select("set_id", "n").distinct()
     sets = sets.join(linked, F.col("set_id") == F.col("node"), "left").join(centre, F.col("set_id") == F.col("u"), "left")
-    home = F.xxhash64(F.col("component").isNull(), F.coalesce("component", "centre", "set_id"))
+    own = F.when(order("set_id") < order("centre"), F.col("set_id")).otherwise(F.coalesce("centre", "set_id"))
+    home = F.xxhash64(F.col("component").isNull(), F.coalesce(F.col("component"), own))
     sets = keep(sets.select("set_id", "n", "component", home.alias("home")))
     size = sets.groupBy("home").agg(F.ceil(F.count("*") / PART).alias("parts"), F.ceil(F.sum("n") / PART_TOKENS).alias("long"))
     part = F.pmod(F.xxhash64("set_id"), F.greatest("parts", "long"))
