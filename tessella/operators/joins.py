@@ -24,11 +24,11 @@ def within_anti(rows: DataFrame, others: DataFrame, distance: float, zone: str =
 
     Both need `zone`, x and y, materialised.  Points meet in grid cells of the distance's size, so the join is by key.
     """
-    near = _around(others.select(F.col(zone).alias("z"), "x", "y"), distance).select("z", "cx", "cy", F.col("x").alias("ox"), F.col("y").alias("oy"))
+    near = _around(others.select(F.col(zone).alias("_z"), "x", "y"), distance).select("_z", F.col("cx").alias("_nx"), F.col("cy").alias("_ny"), F.col("x").alias("_ox"), F.col("y").alias("_oy"))
     cx, cy = _cells(rows, distance)
-    gap = (F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy"))
+    gap = (F.col("x") - F.col("_ox")) * (F.col("x") - F.col("_ox")) + (F.col("y") - F.col("_oy")) * (F.col("y") - F.col("_oy"))
     keyed = rows.withColumn("_cx", cx).withColumn("_cy", cy)
-    same = (F.col(zone) == F.col("z")) & (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")) & (gap <= distance * distance)
+    same = (F.col(zone) == F.col("_z")) & (F.col("_cx") == F.col("_nx")) & (F.col("_cy") == F.col("_ny")) & (gap <= distance * distance)
     return keyed.join(near, same, "left_anti").drop("_cx", "_cy")
 
 
