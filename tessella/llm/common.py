@@ -33,10 +33,10 @@ def bloom(hashes: DataFrame, column: str) -> np.ndarray:
         .select(F.shiftright(cell, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << (BLOOM_BITS - 6), np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 

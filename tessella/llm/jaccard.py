@@ -50,9 +50,9 @@ def _sketch(docs: DataFrame, k: int) -> np.ndarray:
         (full,) = np.nonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(cells[full])], ["cell", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    out[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 

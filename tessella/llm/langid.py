@@ -94,16 +94,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
         kind = pa.list_(pa.int32())
         return pa.StructArray.from_arrays([pa.array([x[i].tolist() for x in found], kind) for i in (0, 1)], ["where", "counts"])
 
-    rows = usable.filter(order < cut).select("lang", order.alias("place"), counted("text").alias("x")).collect()
-    rows = sorted(((r["lang"], r["place"], list(r["x"]["where"]), list(r["x"]["counts"])) for r in rows if r["x"]["where"]))
+    found = usable.filter(order < cut).select("lang", order.alias("place"), counted("text").alias("x")).select("lang", "place", "x.where", "x.counts").toArrow().combine_chunks()
+    lists = [found[c].combine_chunks() for c in ("where", "counts")]
+    rows = sorted((lang, place, i) for i, (lang, place) in enumerate(zip(found["lang"].to_pylist(), found["place"].to_pylist(), strict=True)) if len(lists[0][i]))
     if not rows:
         return Model()
     matrix = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for i, (_, _, where, counts) in enumerate(rows):
-        matrix[i, where] = np.sqrt(counts)
-    idf = 1 + np.log((1 + len(rows)) / (1 + (matrix > 0).sum(axis=0)))
-    matrix = matrix * idf.astype(np.float32)
-    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    for i, (_, _, at) in enumerate(rows):
+        matrix[i, lists[0][at].values.to_numpy()] = np.sqrt(lists[1][at].values.to_numpy())
+    idf = 1 + np.log((1 + len(rows)) / (1 + np.count_nonzero(matrix, axis=0)))
+    matrix *= idf.astype(np.float32)
+    for row in matrix:
+        row /= np.linalg.norm(row)
     names = sorted({r[0] for r in rows})
     owner, centres, reached = [], [], []
     for k, name in enumerate(names):
