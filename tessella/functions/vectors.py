@@ -17,7 +17,7 @@ def norm(a: Column | str) -> Column:
 def angular(a: Column | str, b: Column | str) -> Column:
     """sqrt(2 - 2 cos), the distance of unit vectors; null for a vector of no length."""
     cosine = dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
-    return F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cosine))
+    return F.when(cosine.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cosine)))
 
 
 def query(positive: Column | str, negative: Column | str) -> Column:
