@@ -38,7 +38,8 @@ GENERATORS = (
 )
 #: Code points of context on either side.
 CONTEXT = 24
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+# zeros, a number up to 255, or both; spans have a digit in each part
+_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])?"
 _IP = rf"^{_PART}(?: ?\. ?{_PART}){{3}}$"
 
 # Words that speak for or against a kind.
