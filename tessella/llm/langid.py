@@ -130,6 +130,11 @@ def _clustered(rows: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return centres
 
 
+def lettered(text: Column) -> Column:
+    """The text if it has a letter; signs and emoji beyond ASCII are none."""
+    return F.when(text.rlike(r"\p{L}"), text)
+
+
 def predictor(model: Model):
     """A function from a text column to struct(lang, score, rejected)."""
 
@@ -143,15 +148,15 @@ def predictor(model: Model):
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, rejected.
 
-    A null text and one without a letter (a-z or beyond ASCII) is `und` with score 0 and rejected, as is every text if
+    A null text and one without a letter (of any script) is `und` with score 0 and rejected, as is every text if
     nothing could be learned.  Repeated rows and ties get the same answer, ties between centroids going to the language
     that sorts first.  A null doc_id is not held out.  Other columns are ignored; an empty table gives an empty result.
     """
     predict = predictor(model or fit(docs))
-    rows = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), predict("text").alias("p"))
+    rows = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), predict(lettered(docs["text"])).alias("p"))
     return rows.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"), F.col("p.rejected").alias("rejected"))
 
 
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents whose language is not rejected, with all their columns."""
-    return docs.filter(~predictor(model or fit(docs))(docs["text"])["rejected"])
+    return docs.filter(~predictor(model or fit(docs))(lettered(docs["text"]))["rejected"])
