@@ -36,6 +36,8 @@ UNLIKELY = frozenset(
 )
 #: Words that mark a container as main text.
 LIKELY = frozenset("article body content entry main page post story text".split())
+#: Words of a name that says what an element has or lacks, not what it is.
+SAYS_HAS = frozenset("has with no without".split())
 
 _TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -53,16 +55,27 @@ class Node:
         self.points = 0.0
 
 
-def _marks(attributes: str) -> tuple[frozenset, bool]:
-    """The words of class, id and role, and whether the element is hidden."""
-    words, hidden = set(), False
+def _marks(attributes: str) -> tuple[frozenset, bool, bool]:
+    """The words of class, id and role, whether a name says that the element is no main text, and whether it is hidden.
+
+    A name that has words of both sorts, as comment-body, is of the unlikely sort unless it is a header's or says what
+    the element has or lacks; an element with such a name and another that speaks for it stays.
+    """
+    words, bad, good, hidden = set(), False, False, False
     for name, *values in _NAMED.findall(attributes):
         value = "".join(values).lower()
         if name.lower() == "hidden" or name.lower() == "aria-hidden" and value == "true":
             hidden = True
         elif name.lower() in ("class", "id", "role"):
-            words.update(_WORD.findall(value))
-    return frozenset(words), hidden
+            for part in value.split():
+                own = _WORD.findall(part)
+                against = bool(UNLIKELY.intersection(own))
+                if LIKELY.intersection(own) and (not against or "header" in own) or SAYS_HAS.intersection(own):
+                    good = good or bool(LIKELY.intersection(own))
+                else:
+                    bad = bad or against
+                words.update(own)
+    return frozenset(words), bad and not good, hidden
 
 
 def parse(html: str) -> Node:
@@ -114,8 +127,8 @@ def parse(html: str) -> Node:
                 node = found.parent
         if tag in ("html", "body"):
             continue
-        words, hidden = _marks(attributes) if attributes else (frozenset(), False)
-        if tag in DROPPED or hidden or (tag == "header" and not _inside(node)) or (words & UNLIKELY and not words & LIKELY and tag not in ("article", "main")):
+        words, unlikely, hidden = _marks(attributes) if attributes else (frozenset(), False, False)
+        if tag in DROPPED or hidden or (tag == "header" and not _inside(node)) or (unlikely and tag not in ("article", "main")):
             if tag not in VOID and not attributes.endswith("/"):
                 skip, depth = tag, 1
             continue
