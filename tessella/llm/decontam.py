@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +52,27 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(word_spans(data, offsets, _BREAK)[1])
 
 
-def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Literal hash and kind (0 word, 1 number, 2 name, 3 unit) of all tokens, and the bounds of the rows in them."""
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and row offsets, with _JOINER for a point or comma inside a number."""
     data, offsets = utf8(column)
     data = data.copy()
     inner = data[1:-1]
     inner[((inner == 44) | (inner == 46)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]] = _JOINER
-    starts, words = word_spans(data, offsets, _BREAK)
+    return data, offsets
+
+
+def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Literal hash and kind (0 word, 1 number, 2 name, 3 unit) of all tokens, and the bounds of the rows in them.
+
+    Letters of all scripts are lower-cased for the hashes.  That keeps the tokens, though not always their places.
+    """
+    data, offsets = _bytes(column)
+    starts = ~_BREAK[data]
+    starts[1:] &= _BREAK[data[:-1]]
+    heads = offsets[offsets < len(data)]
+    starts[heads] = ~_BREAK[data[heads]]
+    starts = np.flatnonzero(starts)
+    _, words = word_spans(*_bytes(pc.utf8_lower(column)), _BREAK)
     bounds = np.searchsorted(starts, offsets)
     kinds = np.zeros(len(words), np.int8)
     if not len(words):

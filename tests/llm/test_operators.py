@@ -137,7 +137,7 @@ def _base(t):
 
 def test_pii(spark):
     draw = random.Random(7)
-    bits = ["4111 1111 1111 1111", "4111-1111-1111-1112", "a.b@c.de_f@g.hi", "1.2.3.4.5", "999.1.1.1", "+1 (743) 555-3824", "+12", "é", "😀", " x ", "call 743-555-3824", "mail me at bob at mail dot com", ".", "0001.02.3.255", "+49 30 1234567-"]
+    bits = ["4111 1111 1111 1111", "4111-1111-1111-1112", "a.b@c.de_f@g.hi", "1.2.3.4.5", "999.1.1.1", "+1 (743) 555-3824", "+12", "é", "😀", " x ", "call 743-555-3824", "mail me at bob at mail dot com", ".", "0001.02.3.255", "10.0.0.1", "0.00.000.0256", "+49 30 1234567-"]
     texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 8))) for _ in range(150)] + [None, ""]
     model = pii.fit(spark, n=800, trees=5)
     out = {r.doc_id: r for r in pii.report(docs(spark, texts), model).collect()}
@@ -157,6 +157,21 @@ def test_language_id_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in out) >= 0.97 * len(out)
 
 
+def test_language_id_needs_a_letter(spark):
+    texts = ["— … 😀 ¿? 12", "→ ok", "the river and the town", "12 34", None, "ñ"]
+    model = langid.Model(["en"], langid.np.array([0]), langid.np.full((1, langid.DIMENSIONS), langid.DIMENSIONS**-0.5, langid.np.float32), reject_below=0.0)
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in langid.identify(docs(spark, texts), model).collect()}
+    assert [got[i] for i in range(6)] == [("und", True), ("en", False), ("en", False), ("und", True), ("und", True), ("en", False)]
+    assert {r.doc_id for r in langid.accepted(docs(spark, texts), model).collect()} == {1, 2, 5}
+
+
+def test_main_text_of_mixed_names():
+    body = "".join(f"<p>Paragraph {i}, with words, commas, and some more of both, as texts have.</p>" for i in range(4))
+    page = f"""<div class="content with-sidebar"><div class="entry-header"><h1>Title</h1></div>{body}<div class="comment-body"><p>Nice, I, too, think so, always.</p></div>
+    <div class="post-share social-text">Share</div></div><div id="sidebar-content"><p>Other, stories, here, and, there, more.</p></div>"""
+    assert html.main_text(page) == "\n".join(["Title", *(f"Paragraph {i}, with words, commas, and some more of both, as texts have." for i in range(4))])
+
+
 def test_main_text():
     page = """<!DOCTYPE html><html><head><title>T</title><script>if (a<b) "</p>"</script></head><body><nav><a href=x>Home</a></nav><div class="cookie-notice">We use cookies, really, all of them, always.</div>
     <header><h1>Site</h1></header><div id=main><h1>Head &amp; line</h1><p>First, a paragraph&nbsp;with <b>bold</b> text,\n and commas, many of them, here.<p>Second one, <a href=y>with a link</a>, and more words to read.</div>
@@ -192,6 +207,13 @@ def test_decontamination(spark):
     assert {r.doc_id for r in decontam.clean(docs(spark, texts), benchmark).collect()} == {2, 3, 5, 6}
 
 
+def test_decontamination_of_shouted_copies(spark):
+    items = ["La niña añadió sólo ocho ñandúes más, él también lloró. Éramos tres. ¿Y ñu?", "Мама мыла раму и пела песню о тёплом лете у моря вчера", "İzmir'de ışık ve gölge üzerine kısa bir yazı daha okudum bugün"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"x!! {items[0].upper()}!! y", f"да, {items[1].upper()} нет", f"Dün {items[2]} sonra", "La niña añadió sólo una cosa más"]
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, texts), benchmark).collect()} == {(0, 0), (1, 1), (2, 2)}
+
+
 def test_chat_repair_is_cheapest(spark):
     draw = random.Random(9)
     said = {c: [draw.choice(["user", "assistant", "system", "bot", None]) for _ in range(draw.randint(1, 25))] for c in range(40)}
