@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bloom, in_bloom, keep
-from .words import BYTE_VALUE, mix, powers, utf8, word_spans
+from .words import mix, pieces, powers, utf8, word_spans
 
 #: Tokens of a window, and the fewest that an item needs to be searched for.
 WINDOW, FEWEST = 8, 5
@@ -136,7 +136,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 def _hits(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, 1)):
             words, kinds, bounds = template(batch.column(1))
             which, places, hashes, lists = [], [], [], []
             for lane, tokens in enumerate(_lanes(words, kinds)):

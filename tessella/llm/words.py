@@ -51,6 +51,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, in pieces of about BLOCK bytes of a string column; a longer text is in one piece."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // BLOCK)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def powers(n: int, base: np.uint64 = _POSITION) -> np.ndarray:
     out = np.full(max(n, 1), base, np.uint64)
     out[0] = 1

@@ -73,6 +73,18 @@ def test_shingles_in_blocks():
     assert [len(x) for x in whole] == [len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) if len(w := words_of(t)) >= 5 else int(bool(w)) for t in texts]
 
 
+def test_pieces_hold_all_rows():
+    texts = [*made(30, 2), None, "", "x" * 500, "é" * 40]
+    size, words.BLOCK = words.BLOCK, 64
+    try:
+        for some in (texts, texts[:1], [None], []):
+            got = list(words.pieces(pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["text"]), 0))
+            assert [t for p in got for t in p.column(0).to_pylist()] == some
+            assert all(sum(len((t or "").encode()) for t in p.column(0).to_pylist()[1:]) <= 500 + 64 for p in got)
+    finally:
+        words.BLOCK = size
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_duplicates_equal_brute_force(spark, seed):
     texts = made(250, seed)
