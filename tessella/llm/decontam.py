@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, in_bloom, keep
+from .common import bloom, in_bloom, keep, stored
 from .words import mix, pieces, powers, utf8, word_spans
 
 #: Tokens of a window, and the fewest that an item needs to be searched for.
@@ -192,5 +192,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    gone = contaminated(docs, benchmark).filter("doc_id is not null").select("doc_id").distinct()
+    # stored, its size is known before the join: while it is small the documents need no shuffle
+    gone = stored(contaminated(docs, benchmark).filter("doc_id is not null").select("doc_id").distinct(), "contaminated")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -236,7 +236,8 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     A row without a doc_id stays.  Rows that repeat a doc_id of a kept document are reduced to one.
     """
     found = near_duplicates(docs, k, percent).filter("doc_id is not null")
-    gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    # stored, its size is known before the join: while it is small the documents need no shuffle
+    gone = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if found.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         left = left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import keep, none_as_empty
+from .common import keep, none_as_empty, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Made texts that the trees are fitted on; trees and their depth; precision that a threshold must reach when held out.
@@ -231,6 +231,8 @@ def redacted(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None)
     reached = F.coalesce(F.max("end").over(text.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
     found = found.withColumn("from", F.greatest("start", reached)).filter("from < end")
     cuts = found.groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_g")).agg(F.array_sort(F.collect_list(F.struct("from", "end", "kind"))).alias("_cuts"))
+    # stored, their size is known before the join: while they are small the documents need no shuffle
+    cuts = stored(cuts, "cuts")
     # the document travels as one value, so that no name of its columns can clash with those added here
     rows = docs.select(F.struct("*").alias("doc")).join(cuts, F.col("doc.doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("doc.text") == F.col("_g")), "left")
     body = F.expr(
