@@ -12,7 +12,7 @@ from ..sources.scratch import keep as keep
 from ..sources.scratch import stored as stored
 
 #: Arrow batches handed to Python hold at most so many bytes, so that a worker's memory does not follow the row width.
-ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
