@@ -15,7 +15,6 @@ from fractions import Fraction
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,13 +117,13 @@ def _draw(*key: object) -> np.random.Generator:
 def _flown(units: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
     """Fly (and on the last level land) each block of units (source, rank, uid, size, p)."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "uid"], ascending=[False, True], kind="stable")
-        size = rows["size"].astype(float).tolist()
-        p = flight(rows["p"].tolist(), size, _draw(seed, level, key))
-        return rows.assign(p=landing(p, size) if last else p)
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("size", "descending"), ("uid", "ascending")])
+        size = [float(s) for s in rows["size"].to_pylist()]
+        p = flight(rows["p"].to_pylist(), size, _draw(seed, level, *(k.as_py() for k in key)))
+        return rows.set_column(rows.column_names.index("p"), "p", pa.array(landing(p, size) if last else p, pa.float64()))
 
-    return units.groupBy("source", "block").applyInPandas(run, "source string, block long, uid string, size long, p double")
+    return units.groupBy("source", "block").applyInArrow(run, "source string, block long, uid string, size long, p double")
 
 
 def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = 0) -> DataFrame:
