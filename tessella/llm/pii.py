@@ -22,6 +22,8 @@ from .common import keep, none_as_empty, stored
 KINDS = ("email", "ip", "card", "phone")
 #: Made texts that the trees are fitted on; trees and their depth; precision that a threshold must reach when held out.
 SAMPLE, TREES, DEPTH, PRECISION = 3000, 12, 3, 0.98
+#: Models by these four numbers, on which alone a fit depends: no row of any table is learned from.
+_FITTED: dict[tuple, tuple[str, dict[str, float]]] = {}
 
 # The base rules, then wider generators: (kind, base, pattern).  Starts are tied to the start of a run, and repeats are
 # possessive where that cannot change a match, so that no text of any length is searched in quadratic time or deep
@@ -157,7 +159,12 @@ def _as_sql(tree: str) -> str:
 
 
 def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> tuple[str, dict[str, float]]:
-    """The boosted trees as a SQL expression over FEATURES, and the score that a candidate of each kind must reach."""
+    """The boosted trees as a SQL expression over FEATURES, and the score that a candidate of each kind must reach.
+
+    A driver fits each model once.
+    """
+    if known := _FITTED.get((n, trees, depth, precision)):
+        return known
     made = keep(_made_texts(spark, n).coalesce(2))
     rows = featured(keep(candidates(made))).join(made.select("doc_id", "truth"), "doc_id").withColumn("y", (F.col("truth") == F.col("kind")).cast("double"))
     rows = keep(rows.select("y", "kind", *FEATURES, (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).coalesce(2))
@@ -174,7 +181,7 @@ def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = D
             right += y
             if right >= precision * i and (i == len(own) or own[i][0] < s):
                 limits[kind] = s
-    return score, {k: max(v, 0.5) for k, v in limits.items()}
+    return _FITTED.setdefault((n, trees, depth, precision), (score, {k: max(v, 0.5) for k, v in limits.items()}))
 
 
 def spans(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) -> DataFrame:
