@@ -2,8 +2,10 @@
 
 Tokens that a question can be re-parameterised in (numbers, names, units) become typed placeholders; windows of the
 resulting templates are hash-joined between benchmark items and documents.  A joined window shows which value each slot
-of the item has in the document: an alignment counts only if it replaces equal values equally.  Documents never enter a
-shuffle: a fixed-size bitmap of the benchmark's window hashes lets only probable hits out of the scan.
+of the item has in the document: an alignment counts only if it replaces equal values equally and holds enough words of
+the item that are no slots.  Windows that are mostly numbers and units are searched for with their values, too, as words.
+Documents never enter a shuffle: a fixed-size bitmap of the benchmark's window hashes lets only probable hits out of the
+scan.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bloom, in_bloom, keep, stored
@@ -32,6 +34,8 @@ UNITS = (
 ).split()
 
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
+#: The lane of literal tokens.
+_EXACT = 2
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0x51ED270B7A2F9E3D, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25))
 
 #: Word bytes: letters, digits, and all of a non-ASCII character.
@@ -95,21 +99,23 @@ def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, kinds, bounds
 
 
-def _lanes(words: np.ndarray, kinds: np.ndarray) -> list[np.ndarray]:
-    """The tokens with all placeholders, and with names left as words, for copies that changed the case."""
-    typed = words.copy()
-    for kind, value in ((1, _NUMBER), (3, _UNIT)):
-        typed[kinds == kind] = value
-    plain = typed.copy()
-    typed[kinds == 2] = _NAME
-    return [typed, plain]
+def _lanes(words: np.ndarray, kinds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and which of them are slots: all placeholders; names left as words, for copies that changed the case; _EXACT, no slots."""
+    out = []
+    for named in (True, False):
+        slots = (kinds > 0) & (named | (kinds != 2))
+        tokens = words.copy()
+        for kind, value in ((1, _NUMBER), (2, _NAME), (3, _UNIT)):
+            tokens[slots & (kinds == kind)] = value
+        out.append((tokens, slots))
+    return [*out, (words, np.zeros(len(words), bool))]
 
 
 def _rolled(tokens: np.ndarray, size: int, lane: int) -> np.ndarray:
     out = np.zeros(max(0, len(tokens) - size + 1), np.uint64)
     for j, factor in enumerate(powers(size, _STEP) if len(out) else ()):
         out += tokens[j : j + len(out)] * factor
-    return mix(out + np.uint64(2 * size + lane))
+    return mix(out + np.uint64(8 * size + lane))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -122,34 +128,37 @@ def _items(benchmark: DataFrame) -> DataFrame:
                 if size < FEWEST:
                     continue
                 own, kind = words[a:b], kinds[a:b]
-                for lane, tokens in enumerate(_lanes(own, kind)):
+                valued = [int(np.count_nonzero(kind[at : at + size] % 2)) for at in range(b - a - size + 1)]
+                worded = sum(x < size for x in valued)
+                for lane, (tokens, masked) in enumerate(_lanes(own, kind)):
                     for at, h in enumerate(_rolled(tokens, size, lane).view(np.int64).tolist()):
-                        slots = np.flatnonzero(kind[at : at + size] > 0 if not lane else kind[at : at + size] % 2)
-                        if 2 * len(slots) <= size:
-                            rows.append((item, at, size, b - a - size + 1, h, own[at : at + size].view(np.int64).tolist(), slots.tolist()))
-            names = ["item_id", "at", "size", "windows", "hash", "literals", "slots"]
-            kinds_ = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds_[i]) for i in range(7)], names)
+                        slots = masked[at : at + size]
+                        # a window of slots alone says nothing; one of mostly values needs them to say something
+                        if 2 * valued[at] > size if lane == _EXACT else not slots.all():
+                            known = (at + np.flatnonzero(~slots)).tolist()
+                            rows.append((item, at, size, b - a - size + 1, worded, valued[at] < size, lane, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
+            kinds_ = [pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds_)], ["item_id", "at", "size", "windows", "worded", "says", "lane", "hash", "literals", "slots", "known"])
 
-    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, at int, size int, windows int, hash long, literals array<long>, slots array<int>")
+    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, at int, size int, windows int, worded int, says boolean, lane int, hash long, literals array<long>, slots array<int>, known array<int>")
 
 
-def _hits(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
+def _hits(docs: DataFrame, bitmap: np.ndarray, searched: list[tuple[int, int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in pieces(whole, 1)):
             words, kinds, bounds = template(batch.column(1))
             which, places, hashes, lists = [], [], [], []
-            for lane, tokens in enumerate(_lanes(words, kinds)):
-                for size in sizes:
-                    rolled = _rolled(tokens, size, lane)
-                    at = np.flatnonzero(in_bloom(bitmap, rolled))
-                    row = np.searchsorted(bounds, at, "right") - 1
-                    inside = at + size <= bounds[row + 1]
-                    at, row = at[inside], row[inside]
-                    which.append(row)
-                    places.append(at - bounds[row])
-                    hashes.append(rolled[at].view(np.int64))
-                    lists += [words[x : x + size].view(np.int64) for x in at.tolist()]
+            lanes = _lanes(words, kinds)
+            for lane, size in searched:
+                rolled = _rolled(lanes[lane][0], size, lane)
+                at = np.flatnonzero(in_bloom(bitmap, rolled))
+                row = np.searchsorted(bounds, at, "right") - 1
+                inside = at + size <= bounds[row + 1]
+                at, row = at[inside], row[inside]
+                which.append(row)
+                places.append(at - bounds[row])
+                hashes.append(rolled[at].view(np.int64))
+                lists += [words[x : x + size].view(np.int64) for x in at.tolist()]
             ends = np.cumsum([0, *map(len, lists)])
             literals = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))
             which = np.concatenate(which) if which else np.zeros(0, np.int64)
@@ -159,34 +168,48 @@ def _hits(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, place long, hash long, found array<long>")
 
 
+def _union(column: str) -> Column:
+    return F.array_distinct(F.flatten(F.collect_set(column)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT) -> DataFrame:
     """One row for each document and benchmark item that it holds, whole or re-parameterised.
 
     Columns: doc_id, item_id, n_windows (of the item), n_found (windows found at consistent alignments), coverage,
     n_replaced (slot values that differ from the item's), first_word.  A pair is returned when at least `coverage` of
-    the item's windows are found.  Items of fewer than FEWEST tokens are not searched for; those shorter than WINDOW are
+    the item's windows are found, or of those that are not numbers and units alone, as a template of such a window would
+    be found in any table; n_windows and n_found are of the larger share.  An alignment needs as many tokens of the item
+    that are no slots as half a window has, so that new values in an item of fewer such tokens, say a bare sum, are not
+    found; its copies are.  Items of fewer than FEWEST tokens are not searched for; those shorter than WINDOW are
     one window.  Null or empty texts hold nothing; rows that share a doc_id are reported together, those without one
     under null; repeated items count once; an empty table gives an empty result; other columns are ignored.
     """
     items = keep(_items(benchmark).dropDuplicates(["item_id", "at", "hash"]))
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most WINDOW numbers
-    hits = _hits(docs, bloom(items, "hash"), sizes)
+    searched = sorted((r[0], r[1]) for r in items.select("lane", "size").distinct().collect())  # at most lanes x WINDOW pairs
+    hits = _hits(docs, bloom(items, "hash"), searched)
     slot = lambda i: F.struct(F.col("literals")[i].alias("b"), F.col("found")[i].alias("d"))
     joined = hits.join(items, "hash").withColumn("shift", F.col("place") - F.col("at")).withColumn("pairs", F.transform("slots", slot))
     aligned = (
         joined.groupBy("doc_id", "item_id", "shift")
-        .agg(F.max("windows").alias("windows"), F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        .agg(
+            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.collect_set("at").alias("at"), F.collect_set(F.when(F.col("says"), F.col("at"))).alias("saying"),
+            _union("pairs").alias("pairs"), _union("known").alias("known"),
+        )
         .withColumn("values", F.size(F.array_distinct(F.transform("pairs", lambda x: x["b"]))))
         .withColumn("clashes", F.size("pairs") - F.col("values"))
-        .filter(F.col("clashes") <= (1 - consistent) * F.col("values"))
+        .filter((F.col("clashes") <= (1 - consistent) * F.col("values")) & (2 * F.size("known") >= F.col("size")))
     )
+    share = lambda found, of: F.struct((F.col(found) / F.greatest(F.col(of), F.lit(1))).alias("coverage"), F.col(found).cast("long").alias("n_found"), F.col(of).cast("long").alias("n_windows"))
     return (
         aligned.withColumn("replaced", F.size(F.filter("pairs", lambda x: x["b"] != x["d"])))
         .groupBy("doc_id", "item_id")
-        .agg(F.max("windows").cast("long").alias("n_windows"), F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_found"), F.max("replaced").cast("long").alias("n_replaced"), F.min(F.col("shift") + F.array_min("at")).alias("first_word"))
-        .withColumn("coverage", F.col("n_found") / F.col("n_windows"))
+        .agg(
+            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.size(_union("at")).alias("found"), F.size(_union("saying")).alias("said"),
+            F.max("replaced").cast("long").alias("n_replaced"), F.min(F.col("shift") + F.array_min("at")).alias("first_word"),
+        )
+        .withColumn("best", F.greatest(share("found", "windows"), share("said", "worded")))
+        .select("doc_id", "item_id", "best.n_windows", "best.n_found", "best.coverage", "n_replaced", "first_word")
         .filter(F.col("coverage") >= coverage)
-        .select("doc_id", "item_id", "n_windows", "n_found", "coverage", "n_replaced", "first_word")
     )
 
 

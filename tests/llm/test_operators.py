@@ -226,6 +226,15 @@ def test_decontamination_of_shouted_copies(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, texts), benchmark).collect()} == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_decontamination_of_items_full_of_numbers(spark):
+    items = ["Given the numbers 3 7 12 15 18 22 27 31 find the median", "Compute 12 + 15 * 3 - 8 / 2 + 7", "Here is a list: 1 4 9 2 8 5 7 6 3 11 15 13 19 17 12 so what is its mean"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"Well. {items[0]}, please", f"so compute: {items[1]} now", f"{items[2]}?", "Given the numbers 5 6 13 14 19 20 28 40 find the median", "Here is a list: 2 5 8 3 9 6 1 7 4 12 16 14 20 18 13 so what is its mean"]
+    others = ["Compute 3 + 4 * 5 - 9 / 3 + 1", " ".join(map(str, range(300))), "Given the numbers 5 6 13 14 19 20 28 40 I am glad to be here"]
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs(spark, texts + others), benchmark).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 0), (4, 2)} and got[0, 0].n_replaced == 0 and got[3, 0].n_replaced > 0
+
+
 def test_chat_repair_is_cheapest(spark):
     draw = random.Random(9)
     said = {c: [draw.choice(["user", "assistant", "system", "bot", None]) for _ in range(draw.randint(1, 25))] for c in range(40)}
