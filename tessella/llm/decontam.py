@@ -34,8 +34,8 @@ UNITS = (
 ).split()
 
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
-#: The lane of literal tokens.
-_EXACT = 2
+#: The lane of literal tokens, and the one in which any capital begins a name.
+_EXACT, _WIDE = 2, 3
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0x51ED270B7A2F9E3D, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25))
 
 #: Word bytes: letters, digits, and all of a non-ASCII character.
@@ -66,7 +66,9 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Literal hash and kind (0 word, 1 number, 2 name, 3 unit) of all tokens, and the bounds of the rows in them.
+    """Literal hash and kind (0 word, 1 number, 2 name, 3 unit, 4 name or first word) of all tokens, and the bounds of the rows.
+
+    A capital first in a sentence, a quote or a line says little: it begins a name or any word.
 
     Letters of all scripts are lower-cased for the hashes.  That keeps the tokens, though not always their places.
     """
@@ -91,7 +93,7 @@ def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     fresh[bounds[:-1][bounds[:-1] < len(words)]] = True
     second = data[np.minimum(starts + 1, len(data) - 1)]
     upper = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    kinds[upper & ~fresh] = 2
+    kinds[upper] = np.where(fresh[upper], 4, 2)
     kinds[number] = 1
     units = _unit_hashes()
     found = units[np.minimum(np.searchsorted(units, words), len(units) - 1)] == words
@@ -100,15 +102,18 @@ def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _lanes(words: np.ndarray, kinds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Tokens and which of them are slots: all placeholders; names left as words, for copies that changed the case; _EXACT, no slots."""
+    """Tokens and which of them are slots, for each lane.
+
+    All placeholders; names left as words, for copies that changed the case; _EXACT, no slots; _WIDE, first words are names
+    too, for names that begin a sentence or a line on either side.
+    """
     out = []
-    for named in (True, False):
-        slots = (kinds > 0) & (named | (kinds != 2))
-        tokens = words.copy()
-        for kind, value in ((1, _NUMBER), (2, _NAME), (3, _UNIT)):
+    for kept in ((1, 2, 3), (1, 3), (), (1, 2, 3, 4)):
+        tokens, slots = words.copy(), np.isin(kinds, kept)
+        for kind, value in ((1, _NUMBER), (2, _NAME), (3, _UNIT), (4, _NAME)):
             tokens[slots & (kinds == kind)] = value
         out.append((tokens, slots))
-    return [*out, (words, np.zeros(len(words), bool))]
+    return out
 
 
 def _rolled(tokens: np.ndarray, size: int, lane: int) -> np.ndarray:
@@ -189,14 +194,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     hits = _hits(docs, bloom(items, "hash"), searched)
     slot = lambda i: F.struct(F.col("literals")[i].alias("b"), F.col("found")[i].alias("d"))
     joined = hits.join(items, "hash").withColumn("shift", F.col("place") - F.col("at")).withColumn("pairs", F.transform("slots", slot))
+    # first words as slots must not make an alignment of the other lanes fail, nor hide a clash among many that stay
     aligned = (
-        joined.groupBy("doc_id", "item_id", "shift")
+        joined.groupBy("doc_id", "item_id", "shift", (F.col("lane") == _WIDE).alias("wide"))
         .agg(
             F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.collect_set("at").alias("at"), F.collect_set(F.when(F.col("says"), F.col("at"))).alias("saying"),
             _union("pairs").alias("pairs"), _union("known").alias("known"),
         )
         .withColumn("values", F.size(F.array_distinct(F.transform("pairs", lambda x: x["b"]))))
         .withColumn("clashes", F.size("pairs") - F.col("values"))
+        .withColumn("values", F.when(F.col("wide"), F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["b"] != x["d"]), lambda x: x["b"])))).otherwise(F.col("values")))
         .filter((F.col("clashes") <= (1 - consistent) * F.col("values")) & (2 * F.size("known") >= F.col("size")))
     )
     share = lambda found, of: F.struct((F.col(found) / F.greatest(F.col(of), F.lit(1))).alias("coverage"), F.col(found).cast("long").alias("n_found"), F.col(of).cast("long").alias("n_windows"))

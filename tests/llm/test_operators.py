@@ -235,6 +235,20 @@ def test_decontamination_of_items_full_of_numbers(spark):
     assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 0), (4, 2)} and got[0, 0].n_replaced == 0 and got[3, 0].n_replaced > 0
 
 
+def test_decontamination_of_names_that_open_sentences(spark):
+    items = ["Tom has 12 apples. Ann gives him 5 apples. How many apples does Tom have now?", "On the way to school Maria met her friend Paul who owed Maria some pens"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    moved = "Jim has 40 apples. Sue gives him 7 apples. How many apples does Jim have now?"
+    wrapped = "On the way to school\nSarah met her friend\nPeter who owed\nSarah some pens"
+    others = [moved.replace("does Jim", "does Bob").replace("40", "7").replace("Sue gives him 7", "Sue gives him 9"), "Tom has two pears. Ann takes him a plum. How old is Tom now?", "The way to school was long. Maria met nobody there"]
+    broken = "The sea was calm and blue. The sun was low in the west. The men went home"
+    again = spark.createDataFrame([(0, broken)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs(spark, [moved, "x " + wrapped, *items, *others]), benchmark).collect()}
+    assert set(got) >= {(0, 0), (1, 1), (2, 0), (3, 1)} and not {4, 5, 6} & {d for d, _ in got} and got[0, 0].n_replaced == 4 and got[2, 0].n_replaced == 0
+    # another first word leaves the rest of a copy found
+    assert len(decontam.contaminated(docs(spark, [broken.replace("The men", "All men")]), again).collect()) == 1
+
+
 def test_chat_repair_is_cheapest(spark):
     draw = random.Random(9)
     said = {c: [draw.choice(["user", "assistant", "system", "bot", None]) for _ in range(draw.randint(1, 25))] for c in range(40)}
