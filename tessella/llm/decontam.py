@@ -25,6 +25,8 @@ from .words import mix, pieces, powers, utf8, word_spans
 WINDOW, FEWEST = 8, 5
 #: Share of an item's windows that a document must hold, and share of its slots that must be replaced consistently.
 COVERAGE, CONSISTENT = 0.5, 0.8
+#: Tokens in a row that are a passage of an item, however long it is.
+PASSAGE = 13
 
 # Units of measure that may follow a number.
 UNITS = (
@@ -116,11 +118,23 @@ def _lanes(words: np.ndarray, kinds: np.ndarray) -> list[tuple[np.ndarray, np.nd
     return out
 
 
-def _rolled(tokens: np.ndarray, size: int, lane: int) -> np.ndarray:
+def _sums(tokens: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(max(0, len(tokens) - size + 1), np.uint64)
     for j, factor in enumerate(powers(size, _STEP) if len(out) else ()):
         out += tokens[j : j + len(out)] * factor
-    return mix(out + np.uint64(8 * size + lane))
+    return out
+
+
+def _rolled(tokens: np.ndarray, sums: np.ndarray, size: int, lane: int, gap: int) -> np.ndarray:
+    """Hashes of all windows; the token at `gap`, if that is not -1, may be any."""
+    if gap >= 0:
+        sums = sums - tokens[gap : gap + len(sums)] * powers(size, _STEP)[gap]
+    return mix(sums + np.uint64(128 * (gap + 1) + 8 * size + lane))
+
+
+def _gaps(tokens: int) -> list[tuple[int, int]]:
+    """Windows and gaps in them for the words that are in all windows of an item, which none would be found without."""
+    return [(at, p - at) for p in range(max(0, tokens - WINDOW), min(WINDOW, tokens)) if (at := min(max(p - WINDOW // 2, 0), tokens - WINDOW)) >= 0]
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -136,26 +150,35 @@ def _items(benchmark: DataFrame) -> DataFrame:
                 valued = [int(np.count_nonzero(kind[at : at + size] % 2)) for at in range(b - a - size + 1)]
                 worded = sum(x < size for x in valued)
                 for lane, (tokens, masked) in enumerate(_lanes(own, kind)):
-                    for at, h in enumerate(_rolled(tokens, size, lane).view(np.int64).tolist()):
-                        slots = masked[at : at + size]
+                    sums = _sums(tokens, size)
+                    for at, gap in [*((x, -1) for x in range(len(sums))), *(_gaps(b - a) if lane != _EXACT else ())]:
+                        slots = masked[at : at + size].copy()
+                        slots[gap:][: gap >= 0] = False
+                        firm = bool(lane == _EXACT or 2 * np.count_nonzero(slots) <= size)
                         # a window of slots alone says nothing; one of mostly values needs them to say something
-                        if 2 * valued[at] > size if lane == _EXACT else not slots.all():
-                            known = (at + np.flatnonzero(~slots)).tolist()
-                            rows.append((item, at, size, b - a - size + 1, worded, valued[at] < size, lane, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
-            kinds_ = [pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds_)], ["item_id", "at", "size", "windows", "worded", "says", "lane", "hash", "literals", "slots", "known"])
+                        if 2 * valued[at] > size if lane == _EXACT else firm if gap >= 0 else not slots.all():
+                            h = int(_rolled(tokens[at : at + size], sums[at : at + 1], size, lane, gap).view(np.int64)[0])
+                            known = [at + x for x in np.flatnonzero(~slots).tolist() if x != gap]
+                            rows.append((item, at, size, b - a - size + 1, worded, lane, gap, valued[at] < size, firm, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
+            kinds_ = [pa.int64(), *[pa.int32()] * 6, *[pa.bool_()] * 2, pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
+            names = ["item_id", "at", "size", "windows", "worded", "lane", "gap", "says", "firm", "hash", "literals", "slots", "known"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds_)], names)
 
-    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, at int, size int, windows int, worded int, says boolean, lane int, hash long, literals array<long>, slots array<int>, known array<int>")
+    schema = "item_id long, at int, size int, windows int, worded int, lane int, gap int, says boolean, firm boolean, hash long, literals array<long>, slots array<int>, known array<int>"
+    return benchmark.select("item_id", "text").mapInArrow(run, schema)
 
 
-def _hits(docs: DataFrame, bitmap: np.ndarray, searched: list[tuple[int, int]]) -> DataFrame:
+def _hits(docs: DataFrame, bitmap: np.ndarray, searched: list[tuple[int, int, int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in pieces(whole, 1)):
             words, kinds, bounds = template(batch.column(1))
             which, places, hashes, lists = [], [], [], []
             lanes = _lanes(words, kinds)
-            for lane, size in searched:
-                rolled = _rolled(lanes[lane][0], size, lane)
+            last = None
+            for lane, size, gap in searched:
+                if last != (lane, size):
+                    last, sums = (lane, size), _sums(lanes[lane][0], size)
+                rolled = _rolled(lanes[lane][0], sums, size, lane, gap)
                 at = np.flatnonzero(in_bloom(bitmap, rolled))
                 row = np.searchsorted(bounds, at, "right") - 1
                 inside = at + size <= bounds[row + 1]
@@ -173,7 +196,7 @@ def _hits(docs: DataFrame, bitmap: np.ndarray, searched: list[tuple[int, int]])
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, place long, hash long, found array<long>")
 
 
-def _union(column: str) -> Column:
+def _union(column: str | Column) -> Column:
     return F.array_distinct(F.flatten(F.collect_set(column)))
 
 
@@ -183,40 +206,58 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     Columns: doc_id, item_id, n_windows (of the item), n_found (windows found at consistent alignments), coverage,
     n_replaced (slot values that differ from the item's), first_word.  A pair is returned when at least `coverage` of
     the item's windows are found, or of those that are not numbers and units alone, as a template of such a window would
-    be found in any table; n_windows and n_found are of the larger share.  An alignment needs as many tokens of the item
+    be found in any table; n_windows and n_found are of the larger share.  Two more ways need no such share, so coverage may
+    be less, 0 even: PASSAGE tokens in a row at one alignment; and, as one other word hides up to WINDOW tokens, all of the
+    item but WINDOW tokens and at least `coverage` of them in found windows, with one other word in a window of an item so
+    short that the word is in all of its windows.  An alignment needs as many tokens of the item
     that are no slots as half a window has, so that new values in an item of fewer such tokens, say a bare sum, are not
     found; its copies are.  Items of fewer than FEWEST tokens are not searched for; those shorter than WINDOW are
     one window.  Null or empty texts hold nothing; rows that share a doc_id are reported together, those without one
     under null; repeated items count once; an empty table gives an empty result; other columns are ignored.
     """
     items = keep(_items(benchmark).dropDuplicates(["item_id", "at", "hash"]))
-    searched = sorted((r[0], r[1]) for r in items.select("lane", "size").distinct().collect())  # at most lanes x WINDOW pairs
+    searched = sorted(tuple(r) for r in items.select("lane", "size", "gap").distinct().collect())  # at most lanes x WINDOW x gaps
     hits = _hits(docs, bloom(items, "hash"), searched)
     slot = lambda i: F.struct(F.col("literals")[i].alias("b"), F.col("found")[i].alias("d"))
     joined = hits.join(items, "hash").withColumn("shift", F.col("place") - F.col("at")).withColumn("pairs", F.transform("slots", slot))
-    # first words as slots must not make an alignment of the other lanes fail, nor hide a clash among many that stay
+    # each kind of alignment is consistent by itself, so that none makes another fail: of templates, with first words as
+    # slots, with gaps, and word for word
+    sort = F.when(F.col("gap") >= 0, "gap").when(F.col("lane") == _WIDE, "wide").otherwise("template")
+    joined = joined.withColumn("sort", F.explode(F.array_compact(F.array(sort, F.when((F.col("gap") < 0) & (F.col("literals") == F.col("found")), F.lit("same"))))))
+    whole, firm = F.col("gap") < 0, F.when(F.col("firm"), F.col("at"))
+    in_row = PASSAGE - WINDOW
     aligned = (
-        joined.groupBy("doc_id", "item_id", "shift", (F.col("lane") == _WIDE).alias("wide"))
+        joined.groupBy("doc_id", "item_id", "shift", "sort")
         .agg(
-            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.collect_set("at").alias("at"), F.collect_set(F.when(F.col("says"), F.col("at"))).alias("saying"),
-            _union("pairs").alias("pairs"), _union("known").alias("known"),
+            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.min("at").alias("least"),
+            F.collect_set(F.when(whole, F.col("at"))).alias("at"), F.collect_set(F.when(whole & F.col("says"), F.col("at"))).alias("saying"), F.collect_set(firm).alias("firm"),
+            F.sort_array(F.collect_set(F.when(whole, firm))).alias("row"), _union("pairs").alias("pairs"), _union("known").alias("known"),
         )
         .withColumn("values", F.size(F.array_distinct(F.transform("pairs", lambda x: x["b"]))))
         .withColumn("clashes", F.size("pairs") - F.col("values"))
-        .withColumn("values", F.when(F.col("wide"), F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["b"] != x["d"]), lambda x: x["b"])))).otherwise(F.col("values")))
-        .filter((F.col("clashes") <= (1 - consistent) * F.col("values")) & (2 * F.size("known") >= F.col("size")))
+        .withColumn("values", F.when(F.col("sort") == "wide", F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["b"] != x["d"]), lambda x: x["b"])))).otherwise(F.col("values")))
+        .withColumn("clashing", F.col("clashes") > (1 - consistent) * F.col("values"))
+        .withColumn("good", ~F.col("clashing") & (2 * F.size("known") >= F.col("size")))
     )
     share = lambda found, of: F.struct((F.col(found) / F.greatest(F.col(of), F.lit(1))).alias("coverage"), F.col(found).cast("long").alias("n_found"), F.col(of).cast("long").alias("n_windows"))
+    good = lambda x: F.when(F.col("good"), F.col(x))
     return (
-        aligned.withColumn("replaced", F.size(F.filter("pairs", lambda x: x["b"] != x["d"])))
+        aligned.withColumn("passage", F.exists(F.transform("row", lambda x, i: F.coalesce(F.get("row", i + in_row) == x + in_row, F.lit(False))), lambda x: x))
+        .withColumn("tokens", F.flatten(F.transform("firm", lambda x: F.sequence(x, x + F.col("size") - 1))))
+        .withColumn("replaced", F.size(F.filter("pairs", lambda x: x["b"] != x["d"])))
         .groupBy("doc_id", "item_id")
         .agg(
-            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.size(_union("at")).alias("found"), F.size(_union("saying")).alias("said"),
-            F.max("replaced").cast("long").alias("n_replaced"), F.min(F.col("shift") + F.array_min("at")).alias("first_word"),
+            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.size(_union(good("at"))).alias("found"), F.size(_union(good("saying"))).alias("said"),
+            F.max(good("replaced")).cast("long").alias("n_replaced"), F.min(good("shift") + F.col("least")).alias("first_word"),
+            F.max(good("passage")).alias("passage"), F.max(F.col("windows") + F.col("size") - 1).alias("length"),
+            F.collect_list(F.when(F.col("good"), F.struct("shift", "sort", "tokens"))).alias("parts"), F.collect_set(F.when(F.col("clashing"), F.col("shift"))).alias("clashing"),
         )
+        # parts of an alignment that clashes as a whole count only word for word
+        .withColumn("parts", F.filter("parts", lambda x: (x["sort"] == "same") | ~F.array_contains("clashing", x["shift"])))
+        .withColumn("held", F.size(F.array_distinct(F.flatten(F.transform("parts", lambda x: x["tokens"])))))
         .withColumn("best", F.greatest(share("found", "windows"), share("said", "worded")))
+        .filter((F.col("best.coverage") >= coverage) | F.coalesce("passage", F.lit(False)) | ((F.col("held") >= coverage * F.col("length")) & (F.col("held") >= F.col("length") - WINDOW)))
         .select("doc_id", "item_id", "best.n_windows", "best.n_found", "best.coverage", "n_replaced", "first_word")
-        .filter(F.col("coverage") >= coverage)
     )
 
 

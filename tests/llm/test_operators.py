@@ -249,6 +249,23 @@ def test_decontamination_of_names_that_open_sentences(spark):
     assert len(decontam.contaminated(docs(spark, [broken.replace("The men", "All men")]), again).collect()) == 1
 
 
+@pytest.mark.parametrize("size", [8, 9, 11, 13, 15, 16, 18, 20, 22, 25])
+def test_decontamination_of_items_with_another_word(spark, size):
+    item = PLACES[:size]
+    benchmark = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    texts = ["so " + " ".join([*item[:i], "changed", *item[i + 1 :]]) + " it is" for i in range(size)] + ["so " + " ".join(item[: size // 2 - 1]) + " it is", " ".join(item[::-1])]
+    assert {r.doc_id for r in decontam.contaminated(docs(spark, texts), benchmark).collect()} == set(range(size))
+
+
+def test_decontamination_of_passages(spark):
+    long = [f"{w}{i}" for i, w in enumerate(PLACES * 3)]
+    sums = "Now Tom adds 12 and 15 and 3 and 8 and 2 and 7 and 19 for Ann who asks him what is left of it all on the next day when they meet in town to pay for bread and milk and more".split()
+    benchmark = spark.createDataFrame([(0, " ".join(long)), (1, " ".join(sums))], "item_id long, text string")
+    texts = ["x " + " ".join(long[20:45]) + " y", "x " + " ".join(long[20:33]) + " y", "x " + " ".join(long[20:32]) + " y", "so " + " ".join(sums[:13]) + " no", " ".join(long[20:32] + ["x"] + long[40:45])]
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontam.contaminated(docs(spark, texts), benchmark).collect()}
+    assert set(got) == {(0, 0), (1, 0), (3, 1)} and max(got.values()) < 0.5
+
+
 def test_chat_repair_is_cheapest(spark):
     draw = random.Random(9)
     said = {c: [draw.choice(["user", "assistant", "system", "bot", None]) for _ in range(draw.randint(1, 25))] for c in range(40)}
