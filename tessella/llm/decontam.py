@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from .common import bloom, in_bloom, keep, stored
 from .words import mix, pieces, powers, utf8, word_spans
 
-#: Tokens of a window, and the fewest that an item needs to be searched for.
+#: Tokens of a window, and the fewest of an item that is searched for as a template; shorter ones are as they stand.
 WINDOW, FEWEST = 8, 5
 #: Share of an item's windows that a document must hold, and share of its slots that must be replaced consistently.
 COVERAGE, CONSISTENT = 0.5, 0.8
 #: Tokens in a row that are a passage of an item, however long it is.
 PASSAGE = 13
+#: Scripts without spaces, in which each character is a token and a word has about two, and signs that part their tokens.
+_UNSPACED, _SIGNS = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]", r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{FF00}-\x{FF0F}\x{FF1A}-\x{FF20}]"
 
 # Units of measure that may follow a number.
 UNITS = (
@@ -58,6 +60,18 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(word_spans(data, offsets, _BREAK)[1])
 
 
+#: First bytes of the characters of these scripts in UTF-8.
+_FAR = np.zeros(256, bool)
+_FAR[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
+
+
+def _spaced(column: pa.Array) -> pa.Array:
+    """The texts with spaces around the characters of scripts that have none."""
+    if not _FAR[utf8(column)[0]].any():
+        return column
+    return pc.replace_substring_regex(pc.replace_substring_regex(column, _SIGNS, " "), f"({_UNSPACED})", r" \1 ")
+
+
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets, with _JOINER for a point or comma inside a number."""
     data, offsets = utf8(column)
@@ -74,6 +88,7 @@ def template(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Letters of all scripts are lower-cased for the hashes.  That keeps the tokens, though not always their places.
     """
+    column = _spaced(column)
     data, offsets = _bytes(column)
     starts = ~_BREAK[data]
     starts[1:] &= _BREAK[data[:-1]]
@@ -142,29 +157,33 @@ def _items(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             words, kinds, bounds = template(batch.column(1))
-            for item, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            signs = pc.fill_null(pc.count_substring_regex(batch.column(1), _UNSPACED), 0).to_pylist()
+            for item, signs_, a, b in zip(batch.column(0).to_pylist(), signs, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 size = min(WINDOW, b - a)
-                if size < FEWEST:
+                if not size:
                     continue
+                passage = PASSAGE * (1 + (2 * signs_ > b - a))
                 own, kind = words[a:b], kinds[a:b]
                 valued = [int(np.count_nonzero(kind[at : at + size] % 2)) for at in range(b - a - size + 1)]
                 worded = sum(x < size for x in valued)
                 for lane, (tokens, masked) in enumerate(_lanes(own, kind)):
+                    if size < FEWEST and lane != _EXACT:
+                        continue
                     sums = _sums(tokens, size)
                     for at, gap in [*((x, -1) for x in range(len(sums))), *(_gaps(b - a) if lane != _EXACT else ())]:
                         slots = masked[at : at + size].copy()
                         slots[gap:][: gap >= 0] = False
                         firm = bool(lane == _EXACT or 2 * np.count_nonzero(slots) <= size)
                         # a window of slots alone says nothing; one of mostly values needs them to say something
-                        if 2 * valued[at] > size if lane == _EXACT else firm if gap >= 0 else not slots.all():
+                        if size < FEWEST or 2 * valued[at] > size if lane == _EXACT else firm if gap >= 0 else not slots.all():
                             h = int(_rolled(tokens[at : at + size], sums[at : at + 1], size, lane, gap).view(np.int64)[0])
                             known = [at + x for x in np.flatnonzero(~slots).tolist() if x != gap]
-                            rows.append((item, at, size, b - a - size + 1, worded, lane, gap, valued[at] < size, firm, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
-            kinds_ = [pa.int64(), *[pa.int32()] * 6, *[pa.bool_()] * 2, pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
-            names = ["item_id", "at", "size", "windows", "worded", "lane", "gap", "says", "firm", "hash", "literals", "slots", "known"]
+                            rows.append((item, at, size, passage, b - a - size + 1, worded, lane, gap, valued[at] < size, firm, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
+            kinds_ = [pa.int64(), *[pa.int32()] * 7, *[pa.bool_()] * 2, pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
+            names = ["item_id", "at", "size", "passage", "windows", "worded", "lane", "gap", "says", "firm", "hash", "literals", "slots", "known"]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds_)], names)
 
-    schema = "item_id long, at int, size int, windows int, worded int, lane int, gap int, says boolean, firm boolean, hash long, literals array<long>, slots array<int>, known array<int>"
+    schema = "item_id long, at int, size int, passage int, windows int, worded int, lane int, gap int, says boolean, firm boolean, hash long, literals array<long>, slots array<int>, known array<int>"
     return benchmark.select("item_id", "text").mapInArrow(run, schema)
 
 
@@ -207,11 +226,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     n_replaced (slot values that differ from the item's), first_word.  A pair is returned when at least `coverage` of
     the item's windows are found, or of those that are not numbers and units alone, as a template of such a window would
     be found in any table; n_windows and n_found are of the larger share.  Two more ways need no such share, so coverage may
-    be less, 0 even: PASSAGE tokens in a row at one alignment; and, as one other word hides up to WINDOW tokens, all of the
+    be less, 0 even: PASSAGE tokens in a row at one alignment, twice as many in scripts without spaces; and, as one other word hides up to WINDOW tokens, all of the
     item but WINDOW tokens and at least `coverage` of them in found windows, with one other word in a window of an item so
     short that the word is in all of its windows.  An alignment needs as many tokens of the item
     that are no slots as half a window has, so that new values in an item of fewer such tokens, say a bare sum, are not
-    found; its copies are.  Items of fewer than FEWEST tokens are not searched for; those shorter than WINDOW are
+    found; its copies are.  Items of fewer than FEWEST tokens are
+    searched for as they stand, by all their tokens; those shorter than WINDOW are
     one window.  Null or empty texts hold nothing; rows that share a doc_id are reported together, those without one
     under null; repeated items count once; an empty table gives an empty result; other columns are ignored.
     """
@@ -225,11 +245,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     sort = F.when(F.col("gap") >= 0, "gap").when(F.col("lane") == _WIDE, "wide").otherwise("template")
     joined = joined.withColumn("sort", F.explode(F.array_compact(F.array(sort, F.when((F.col("gap") < 0) & (F.col("literals") == F.col("found")), F.lit("same"))))))
     whole, firm = F.col("gap") < 0, F.when(F.col("firm"), F.col("at"))
-    in_row = PASSAGE - WINDOW
     aligned = (
         joined.groupBy("doc_id", "item_id", "shift", "sort")
         .agg(
-            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.min("at").alias("least"),
+            F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.max(F.col("passage") - WINDOW).alias("more"), F.min("at").alias("least"),
             F.collect_set(F.when(whole, F.col("at"))).alias("at"), F.collect_set(F.when(whole & F.col("says"), F.col("at"))).alias("saying"), F.collect_set(firm).alias("firm"),
             F.sort_array(F.collect_set(F.when(whole, firm))).alias("row"), _union("pairs").alias("pairs"), _union("known").alias("known"),
         )
@@ -242,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     share = lambda found, of: F.struct((F.col(found) / F.greatest(F.col(of), F.lit(1))).alias("coverage"), F.col(found).cast("long").alias("n_found"), F.col(of).cast("long").alias("n_windows"))
     good = lambda x: F.when(F.col("good"), F.col(x))
     return (
-        aligned.withColumn("passage", F.exists(F.transform("row", lambda x, i: F.coalesce(F.get("row", i + in_row) == x + in_row, F.lit(False))), lambda x: x))
+        aligned.withColumn("passage", F.exists(F.transform("row", lambda x, i: F.coalesce(F.get("row", i + F.col("more")) == x + F.col("more"), F.lit(False))), lambda x: x))
         .withColumn("tokens", F.flatten(F.transform("firm", lambda x: F.sequence(x, x + F.col("size") - 1))))
         .withColumn("replaced", F.size(F.filter("pairs", lambda x: x["b"] != x["d"])))
         .groupBy("doc_id", "item_id")

@@ -266,6 +266,13 @@ def test_decontamination_of_passages(spark):
     assert set(got) == {(0, 0), (1, 0), (3, 1)} and max(got.values()) < 0.5
 
 
+def test_decontamination_of_short_items_and_scripts_without_spaces(spark):
+    items = ["What is 2+2?", "一个农夫有十二只羊，他卖掉了五只，请问他还剩下几只羊？", "ชาวนาคนหนึ่งมีแกะสิบสองตัวเขาขายไปห้าตัวเหลือกี่ตัว", "東京の人口は？"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["He asked: what is 2 + 2? Nobody knew", f"题目如下。{items[1]}谢谢大家", f"โจทย์{items[2]}ครับ", f"問題、{items[3]}答え", "What is 2+3? Or 2+2", "今天的天气很好，农夫在家里休息，没有去看他的羊", None, "一个农夫有十二只羊，他卖掉了五只，请问他"]
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, texts), benchmark).collect()} == {(0, 0), (1, 1), (2, 2), (3, 3), (7, 1)}
+
+
 def test_chat_repair_is_cheapest(spark):
     draw = random.Random(9)
     said = {c: [draw.choice(["user", "assistant", "system", "bot", None]) for _ in range(draw.randint(1, 25))] for c in range(40)}
