@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components as components
 from ..sources.scratch import forget as forget
 from ..sources.scratch import keep as keep
+from ..sources.scratch import released as released
 from ..sources.scratch import stored as stored
 
 #: Arrow batches handed to Python hold at most so many bytes, so that a worker's memory does not follow the row width.
@@ -21,27 +22,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bits of a Bloom bitmap: a proven bound of 1 MB on what is sent to the executors, whatever the input's size.
-BLOOM_BITS = 23
+#: Bits of a Bloom bitmap for each value, and the most bits of one: a proven bound of 16 MB on what is sent to the executors.
+BLOOM_BITS, MOST_BITS = 8, 27
 
 
 def bloom(hashes: DataFrame, column: str) -> np.ndarray:
-    """A fixed-size bitmap of a column of uniformly hashed longs; the driver gets at most 2**(BLOOM_BITS - 6) words."""
-    cell = F.col(column).bitwiseAND(F.lit((1 << BLOOM_BITS) - 1))
-    words = (
-        hashes.filter(F.col(column).isNotNull())
-        .select(F.shiftright(cell, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(1 << (BLOOM_BITS - 6), np.int64)
+    """A bitmap of a column of uniformly hashed longs, with BLOOM_BITS bits a value while that is within its bound.
+
+    Beyond, more values pass that are not in the column: callers join what passes with the column itself.
+    """
+    bits = min(MOST_BITS, max(16, (BLOOM_BITS * hashes.count()).bit_length()))
+    cell = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    with released(hashes.sparkSession):
+        words = (
+            hashes.filter(F.col(column).isNotNull())
+            .select(F.shiftright(cell, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+            .groupBy("word")
+            .agg(F.bit_or("bit").alias("bits"))
+            .toArrow()
+        )
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
 def in_bloom(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    cell = hashes.view(np.int64) & ((1 << BLOOM_BITS) - 1)
+    cell = hashes.view(np.int64) & (64 * len(bitmap) - 1)
     return ((bitmap[cell >> 6] >> (cell & 63)) & 1).astype(bool)
 
 

@@ -8,13 +8,14 @@ for one block of bytes and for its word hashes only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _RANDOM = np.random.default_rng(20240229)
 #: A random odd value for each byte; A-Z share those of a-z.
@@ -80,26 +81,33 @@ def blocks(data: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
+@lru_cache(maxsize=4)
+def _both_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(size), powers(size, np.uint64(pow(int(_POSITION), -1, 1 << 64)))
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of all words, and the hash of each; a row's end is a word's end too."""
+    """Starts of all words, and the hash of each; a row's end is a word's end too.
+
+    Running sums of value * power give a word's polynomial as a difference, shifted back to its start.
+    """
     starts, hashes = [], []
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     for at, end in blocks(data, breaks):
         part = data[at:end]
         inside = ~breaks[part]
-        begin = inside & first[at:end]
-        begin[1:] |= inside[1:] & ~inside[:-1]
-        begin[0] |= inside[0]
-        begin = np.flatnonzero(begin)
+        begin, close = inside.copy(), inside.copy()
+        begin[1:] &= ~inside[:-1] | first[at + 1 : end]
+        close[:-1] &= ~inside[1:] | first[at + 1 : end]
+        begin, close = np.flatnonzero(begin), np.flatnonzero(close) + 1
         if not len(begin):
             continue
-        lengths = np.diff(np.append(begin, len(part)))
-        value = BYTE_VALUE[part]
-        value[~inside] = 0
-        place = np.arange(len(part) - begin[0]) - np.repeat(begin - begin[0], lengths)
-        value = value[begin[0] :] * powers(int(lengths.max()))[place]
-        hashes.append(mix(np.add.reduceat(value, begin - begin[0])))
+        # whole steps of size, so that few tables of powers are made
+        power, back = _both_powers(-(-len(part) // BLOCK) * BLOCK)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(BYTE_VALUE[part] * power[: len(part)], out=total[1:])
+        hashes.append(mix((total[close] - total[begin]) * back[begin]))
         starts.append(begin + at)
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -124,6 +132,18 @@ def shingles(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
+def all_shingles(column: pa.Array, k: int = 5) -> np.ndarray:
+    """The hashes of the k-word shingles of all rows of k words or more, repeats included."""
+    data, offsets = utf8(column)
+    starts, words = word_spans(data, offsets, WHITE)
+    size = max(0, len(words) - k + 1)
+    rolled = np.zeros(size, np.uint64)
+    for j, factor in enumerate(powers(k, _STEP) if size else ()):
+        rolled += words[j : j + size] * factor
+    row = np.searchsorted(offsets, starts, "right")
+    return mix(rolled[row[:size] == row[k - 1 :][:size]])
+
+
 def set_id(tokens: np.ndarray) -> int:
     """A 64-bit name for a set of token hashes; 0 only for the empty set."""
     if not len(tokens):

@@ -349,3 +349,22 @@ def test_pipeline_against_its_parts(spark):
             assert {i: sum(r.doc_id == i for r in after) for i in kept} == taken
         assert out.columns[: len(rows.columns)] == rows.columns
         rows = out
+
+
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    plain, other = " ".join(PLACES), " ".join(f"q{i}" for i in range(30))
+    close = plain + " indeed"
+    rows = [(1, plain), (1, other), (1, close), (2, plain), (2, plain), (3, other + " x"), (4, "alone here"), (4, "alone here"), (5, None), (5, ""), (5, None), (None, plain), (None, plain)]
+    d = spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(d).collect()), key=str)
+    # of plain and close, both of doc_id 1 and in one component, one stays; repeated rows are one
+    assert len([x for x in kept if x[0] == 1]) == 2 and (1, other) in kept
+    assert sorted((x for x in kept if x[0] != 1), key=str) == sorted([(4, "alone here"), (5, None), (5, ""), (None, plain), (None, plain)], key=str)
+
+
+def test_near_duplicates_in_small_parts(spark, monkeypatch):
+    texts = made(220, 5, 20, 90)
+    whole = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs(spark, texts)).collect()}
+    for name, value in (("PART", 3), ("QUERIES", 2), ("WIDE", 0), ("ORDERS", (0,)), ("SKETCH_BITS", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs(spark, texts)).collect()} == whole
