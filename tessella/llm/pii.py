@@ -2,13 +2,16 @@
 
 High-recall generators propose spans that may overlap.  Boosted trees, fitted on texts made here from number and address
 formats and their look-alikes, score each candidate by its format and context; a threshold for each kind, calibrated on
-held-out texts, selects what is redacted.  Spans that the strict rules of a kind accept are always kept.
+held-out texts, selects what is redacted.  A candidate counts as true in the fit only if it is the whole of the span.
+Spans that the strict rules of a kind accept are always kept; what only such a rule proposed and then refused is not.
 
 The trees run as one SQL expression, so scoring stays in generated code.
 """
 
 from __future__ import annotations
 
+import json
+import random
 import re
 
 from pyspark.ml.classification import GBTClassifier
@@ -17,26 +20,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import keep, none_as_empty, stored
+from .common import forget, keep, none_as_empty, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Made texts that the trees are fitted on; trees and their depth; precision that a threshold must reach when held out.
-SAMPLE, TREES, DEPTH, PRECISION = 3000, 12, 3, 0.98
+SAMPLE, TREES, DEPTH, PRECISION = 6000, 16, 4, 0.98
 #: Models by these four numbers, on which alone a fit depends: no row of any table is learned from.
 _FITTED: dict[tuple, tuple[str, dict[str, float]]] = {}
 
 # The base rules, then wider generators: (kind, base, pattern).  Starts are tied to the start of a run, and repeats are
-# possessive where that cannot change a match, so that no text of any length is searched in quadratic time or deep
-# recursion.
+# possessive or bounded where that cannot change a match, so that no text of any length is searched in quadratic time or
+# deep recursion.
 GENERATORS = (
     ("email", True, r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     ("ip", True, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     ("card", True, r"(?<![0-9])[0-9](?:[\x20-]?+[0-9])++"),
     ("phone", True, r"\+[0-9][\x20().0-9-]+[0-9]"),
-    ("email", False, r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[({]? ?(?:at|@) ?[\])}]? ?[A-Za-z0-9-]{1,63} ?[\[({]? ?(?:dot|\.) ?[\])}]? ?(?:com|org|net|edu|io|de|fr|es|uk|co)(?![A-Za-z0-9])"),
-    ("card", False, r"(?<![0-9])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{4}){2,3}(?![0-9])"),
-    ("phone", False, r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-]{1,2}[0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9A-Za-z])"),
-    ("ip", False, r"(?<![0-9])[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}(?![0-9])"),
+    ("email", False, r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?: dot [a-z0-9._%+-]++){0,3}+(?: ?@ ?| ?[\[({] ?(?:at|@) ?[\])}] ?| at )[a-z0-9-]++(?:(?: ?[\[({] ?(?:dot|\.) ?[\])}] ?| dot |\.)[a-z0-9-]++)++"),
+    ("card", False, r"(?<![0-9])[0-9]{4}(?:[._/\x20-]{1,2}[0-9]{4}){2,3}(?:[._/\x20-]{1,2}[0-9]{1,3})?(?![0-9])|(?<![0-9])[0-9]{4}[._/\x20-]{1,2}[0-9]{6}[._/\x20-]{1,2}[0-9]{5}(?![0-9])"),
+    ("card", False, r"(?<![0-9A-Za-z])[0-9]{12,19}(?![0-9A-Za-z])"),
+    ("phone", False, r"(?<![0-9A-Za-z+.@])(?:\([0-9]{1,5}\)[\x20./-]{0,2}|[0-9]{1,6}[\x20./-]{1,2})(?:\([0-9]{1,5}\)[\x20./-]{0,2})?[0-9]{2,8}(?:[\x20./-]{1,2}[0-9]{2,5}){0,4}(?![0-9A-Za-z])"),
+    ("ip", False, r"(?<![0-9.])[0-9]{1,3}(?:(?: ?\. ?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?!\.?[0-9])"),
 )
 #: Code points of context on either side.
 CONTEXT = 24
@@ -46,11 +50,11 @@ _IP = rf"^{_PART}(?: ?\. ?{_PART}){{3}}$"
 
 # Words that speak for or against a kind.
 CUES = {
-    "cue_email": "mail|contact|write|schreib|escrib|correo|courriel",
-    "cue_phone": "phone|tel|call|mobile|cell|fax|whatsapp|anruf|llama|appel",
-    "cue_card": "card|visa|credit|debit|payment|karte|tarjeta|carte|amex",
-    "cue_ip": "ip|server|host|login|address|client|node",
-    "cue_other": "order|invoice|version|release|isbn|issn|sku|serial|ref|build|section|chapter|article|commit|part no|figure|score|page|page|date|total|price",
+    "cue_email": "mail|e-mail|contact|write|reach|schreib|kontakt|escrib|correo|courriel|contacte",
+    "cue_phone": "phone|tel|call|mobile|cell|fax|whatsapp|ring|sms|text me|hotline|anruf|ruf|handy|llama|movil|appel|portable",
+    "cue_card": "card|visa|credit|debit|payment|pay|master|karte|tarjeta|carte|amex",
+    "cue_ip": "ip|server|host|login|address|client|node|ping|router|gateway|adresse",
+    "cue_other": "order|invoice|version|release|isbn|issn|sku|serial|ref|build|section|chapter|article|commit|part no|figure|score|page|date|total|price|room|paid|sold|about|from|between|years|born|on the|rechnung|factura|facture",
 }
 
 
@@ -69,13 +73,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     document, which is linear in the number of matches.
     """
     text = none_as_empty()
-    digits, marks = text.rlike("[0-9]"), text.rlike("@|(?i) at |[\\[({]at")
-    cells = ["doc_id", F.xxhash64("text").alias("h")]
-    for g, (kind, _, pattern) in enumerate(GENERATORS):
-        worth = marks if kind == "email" else digits
-        # no match, no pieces: the second search runs over the few texts that need it
-        cells += [F.when(worth, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias(f"m{g}"), F.when(worth & text.rlike(pattern), F.split(text, pattern, -1)).alias(f"p{g}")]
-    found = docs.select(*cells)
+    digits, marks = text.rlike("[0-9]"), text.rlike("@|(?i) at |[\\[({] ?at")
+    found = docs.select("doc_id", F.xxhash64("text").alias("h"), text.alias("text"), digits.alias("digits"), marks.alias("marks"))
+    searched = [F.when(F.col("marks" if kind == "email" else "digits"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m{g}") for g, (kind, _, pattern) in enumerate(GENERATORS)]
+    found = found.select("doc_id", "h", "text", *searched)
+    # no match, no pieces: the second search runs over the few texts that need it
+    found = found.select("doc_id", "h", *(f"m{g}" for g in range(len(GENERATORS))), *(F.when(F.size(f"m{g}") > 0, F.split("text", pattern, -1)).alias(f"p{g}") for g, (_, _, pattern) in enumerate(GENERATORS)))
     spans = [
         F.expr(f"coalesce(transform(m{g}, (m, i) -> named_struct('g', {g}, 'i', i, 'm', m, 'gap', char_length(p{g}[i]), 'before', right(p{g}[i], {CONTEXT}), 'after', left(p{g}[i + 1], {CONTEXT}))), array())")
         for g in range(len(GENERATORS))
@@ -88,7 +91,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", kind.alias("kind"), base.alias("base"), (F.col("end") - F.char_length("m")).alias("start"), "end", F.col("m").alias("span"), "before", "after")
 
 
-FEATURES = ("kind_no", "n_digits", "length", "digit_share", "groups", "luhn", "ip_ok", "plus", "parens", "points", "spaces", "at_sign", "first_digit", "kinds_of_digit", "glued_before", "glued_after", "currency", "longest", *CUES)
+FEATURES = ("kind_no", "n_digits", "length", "digit_share", "groups", "luhn", "ip_ok", "plus", "parens", "points", "spaces", "at_sign", "first_digit", "kinds_of_digit", "glued_before", "glued_after", "currency", "longest", "shortest", "first_group", "last_group", "pairs", "opens_0", "dashes", "slashes", "said_at", "last_letters", "year", *CUES)
 
 
 def featured(rows: DataFrame) -> DataFrame:
@@ -102,45 +105,75 @@ def featured(rows: DataFrame) -> DataFrame:
         "kind_no": F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("double"), "n_digits": n.cast("double"), "length": F.char_length(span).cast("double"), "digit_share": n / F.greatest(F.char_length(span), F.lit(1)),
         "groups": F.regexp_count(span, F.lit("[0-9]+")).cast("double"), "plus": flag(span.startswith("+")), "parens": flag(span.contains("(")), "points": F.regexp_count(span, F.lit("[.]")).cast("double"),
         "spaces": F.regexp_count(span, F.lit(" ")).cast("double"), "at_sign": flag(span.contains("@")), "first_digit": F.coalesce(F.substring("digits", 1, 1).try_cast("double"), F.lit(-1.0)),
-        "kinds_of_digit": F.size(F.array_distinct(F.split("digits", ""))).cast("double"), "glued_before": flag(F.col("before").rlike(r"[A-Za-z0-9_#/=-]$")), "glued_after": flag(F.col("after").rlike(r"^[A-Za-z0-9_#/=-]")),
+        "kinds_of_digit": F.size(F.array_distinct(F.split("digits", ""))).cast("double"), "glued_before": flag(F.col("before").rlike(r"[A-Za-z0-9_#/=-]$")), "glued_after": flag(F.col("after").rlike(r"^[:A-Za-z0-9_#/=-]")),
         "currency": flag(F.concat(F.right("before", F.lit(3)), F.left("after", F.lit(3))).rlike("[$€£%]")), "longest": F.coalesce(F.array_max(F.transform(F.split(span, "[^0-9]+"), F.length)), F.lit(0)).cast("double"),
     }
+    groups = F.transform(F.regexp_extract_all(span, F.lit("[0-9]+"), F.lit(0)), F.length)
+    size = lambda c: F.coalesce(c, F.lit(0)).cast("double")
+    cells |= {
+        "shortest": size(F.array_min(groups)), "first_group": size(F.get(groups, F.lit(0))), "last_group": size(F.try_element_at(groups, F.lit(-1))), "pairs": size(F.size(F.filter(groups, lambda x: x == 2))), "opens_0": flag(span.rlike(r"^\(?0")),
+        "dashes": F.regexp_count(span, F.lit("-")).cast("double"), "slashes": F.regexp_count(span, F.lit("/")).cast("double"), "said_at": flag(span.rlike(r"(?i)[\[({] ?(?:at|dot|@|\.) ?[\])}]| dot ")), "last_letters": size(F.length(F.regexp_extract(span, "([A-Za-z]+)$", 1))),
+        "year": flag(span.rlike(r"^(?:1[5-9]|20)[0-9]{2}(?![0-9])|(?<![0-9])(?:1[5-9]|20)[0-9]{2}$")),
+    }
     cells |= {name: flag(context.rlike(rf"(?<![a-z])(?:{pattern})")) for name, pattern in CUES.items()}
     strict = F.when(F.col("kind") == "email", True).when(F.col("kind") == "ip", F.col("ip_ok") > 0).when(F.col("kind") == "card", F.col("luhn") > 0).otherwise(n.between(9, 15))
     return rows.withColumns(cells).withColumn("strict", F.col("base") & strict)
 
 
-def _made_texts(spark: SparkSession, n: int) -> DataFrame:
-    """(doc_id, text, truth): texts that hold one span each, true personal data of a kind or its look-alike (truth '')."""
-    draw = lambda k, m: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(m)).cast("int")
-    digit = lambda k, m, width: F.lpad(draw(k, m).cast("string"), width, "0")
-    pick = lambda k, *xs: F.element_at(F.array(*map(F.lit, xs)), draw(k, len(xs)) + 1)
-    name = pick(1, "anna", "j.smith", "maria_lopez", "paul", "k-meyer", "info", "luc", "team7")
-    domain = F.concat(pick(2, "mail", "example", "post", "firma", "uni-x"), pick(3, ".com", ".org", ".net", ".de", ".fr"))
-    octet = lambda k: draw(k, 256).cast("string")
-    body = F.concat(pick(4, "4", "5", "37", "6"), *(digit(k, 10, 1) for k in range(10, 23)))
-    check = lambda d: F.expr("0") if d is None else F.pmod(10 - F.pmod(F.aggregate(F.sequence(F.lit(0), F.length(d) - 1), F.lit(0), lambda a, i: a + F.when(i % 2 == 0, F.substring(d, F.length(d) - i, 1).cast("int") * 2 - F.when(F.substring(d, F.length(d) - i, 1).cast("int") > 4, 9).otherwise(0)).otherwise(F.substring(d, F.length(d) - i, 1).cast("int"))), F.lit(10)), F.lit(10))
-    card = F.rpad(F.col("body"), 15, "0")
-    made = spark.range(n).withColumn("body", F.left(body, F.lit(15))).withColumn("card", F.concat(card, check(card).cast("string")))
-    grouped = lambda sep: F.concat_ws(sep, *(F.substring("card", 1 + 4 * i, 4) for i in range(4)))
-    wrong = F.concat(F.left("card", F.lit(15)), F.pmod(F.substring("card", 16, 1).cast("int") + 1 + draw(5, 8), F.lit(10)).cast("string"))
-    wrong_grouped = F.concat_ws("-", *(F.substring(wrong, 1 + 4 * i, 4) for i in range(4)))
-    phone = lambda sep: F.concat_ws(sep, digit(30, 900, 3), digit(31, 1000, 3), digit(32, 10000, 4))
-    choices = [
-        ("email", F.concat(name, F.lit("@"), domain), "mail me at "), ("email", F.concat(name, F.lit(" at "), F.regexp_replace(domain, r"\.", " dot ")), "contact: "), ("email", F.concat(name, F.lit(" [at] "), F.regexp_replace(domain, r"\.", " [dot] ")), "write to "),
-        ("", F.lit("stayed at home dot com"), "they "), ("", F.concat(F.lit("look at this. net")), "please "),
-        ("ip", F.concat_ws(".", *(octet(k) for k in (40, 41, 42, 43))), "server "), ("ip", F.concat_ws(".", *(octet(k) for k in (40, 41, 42, 43))), "from "),
-        ("", F.concat_ws(".", digit(44, 9, 1), digit(45, 20, 1), digit(46, 9, 1), digit(47, 9, 1)), "version "), ("", F.concat_ws(" . ", digit(44, 90, 1), digit(45, 20, 1), digit(46, 9, 1), digit(47, 9, 1)), "section "),
-        ("card", F.col("card"), "card "), ("card", grouped("."), "visa "), ("card", grouped("/"), "my card number is "), ("", wrong, "order "), ("", wrong_grouped, "serial "), ("", F.concat_ws("/", digit(50, 2030, 4), digit(51, 10000, 4), digit(52, 10000, 4)), "invoice "), ("", F.regexp_replace(wrong_grouped, "-", "."), "ref "),
-        ("phone", phone("-"), "call "), ("phone", F.concat(F.lit("("), digit(30, 900, 3), F.lit(") "), digit(31, 1000, 3), F.lit("-"), digit(32, 10000, 4)), "phone: "), ("phone", F.concat(F.lit("+1 "), phone(" ")), "tel "),
-        ("", F.concat_ws("/", digit(33, 99, 2), digit(34, 1000, 3), digit(35, 10000, 4)), "invoice "), ("", F.concat_ws("-", digit(36, 999, 3), digit(37, 1000, 3), digit(38, 1000, 3)), "isbn "), ("", F.concat_ws(" ", digit(36, 999, 3), digit(37, 1000, 3), digit(38, 1000, 3)), "total of "), ("", phone("."), "build "),
+def _checked(draw: random.Random, digits: str) -> str:
+    """The digits with a last one that makes them pass the Luhn check."""
+    total = sum(v - 9 * (v > 9) for v in (int(c) * (2 - i % 2) for i, c in enumerate(reversed(digits))))
+    return digits + str(-total % 10)
+
+
+def _made(draw: random.Random) -> list:
+    """[text, kind, start, end]: a text around one span, personal data of a kind or a look-alike ('')."""
+    d = lambda *widths: ["".join(draw.choice("0123456789") for _ in range(w)) for w in widths]
+    sep = draw.choice([" ", "-", ".", "/", " ", "-"])
+    octets = draw.choice([[], [], ["10", "0"], ["192", "168"], ["172", "16"], ["10"], ["127", "0", "0"]])
+    octets = [*octets, *(str(draw.choice([draw.randrange(256), draw.randrange(20)])) for _ in range(4 - len(octets)))]
+    name = draw.choice(["anna", "j.smith", "maria_lopez", "paul", "k-meyer", "info", "luc", "team7", "".join(draw.choice("abcdefgihklmnoprstu") for _ in range(draw.randint(2, 20)))])
+    host = draw.choice(["mail", "example", "post", "firma", "uni-x", "".join(draw.choice("abcdeghiklmnorstuvw") for _ in range(draw.randint(2, 14)))])
+    ending = draw.choice(["com", "org", "net", "de", "fr", "es", "info", "co", "ch", "museum", "app"])
+    number = _checked(draw, draw.choice(["4", "51", "55", "37", "6011", "2221", "9"]) + "".join(d(18)))
+    number = _checked(draw, number[: draw.choice([15, 15, 15, 14, 12, 18])])
+    wrong = number[:-1] + str((int(number[-1]) + draw.randint(1, 9)) % 10)
+    fours = lambda x, by: by.join(x[i : i + 4] for i in range(0, len(x), 4))
+    area, year = draw.choice(["0", "", ""]) + str(draw.randint(2, 999)), str(draw.randint(1500, 2059))
+    word = draw.choice(["look", "stayed", "arrived", "shout", "is", "was", "people", "waited", "aimed"])
+    true = {
+        "email": [f"{name} at {host} dot {ending}", f"{name} [at] {host} [dot] {ending}", f"{name} dot {host} at post dot {ending}", f"{name}(at){host}.{ending}", f"{name} @ {host}.{ending}", f"{name} (AT) {host} (DOT) {ending}", f"{name}@{host} dot {ending}", f"{name} at {host}.{ending}", f"{name}{{at}}{host}.{ending}"],
+        "ip": [" . ".join(octets), "[.]".join(octets), "(.)".join(octets), ". ".join(octets)],
+        "card": [fours(number, draw.choice([".", "/", "_", " - ", "  ", "."])), number, fours(number, "/")],
+        "phone": [sep.join(d(3, 3, 4)), f"({d(3)[0]}) {'-'.join(d(3, 4))}", sep.join(["0" + d(1)[0], *d(2, 2, 2, 2)]), f"0{d(2)[0]} {d(8)[0]}", f"0{d(3)[0]}{draw.choice('/-')}{d(draw.choice([6, 7, 8]))[0]}", sep.join(["0" + d(2)[0], *d(4, 4)]), sep.join(["0" + d(3)[0], *d(3, 4)]), f"(0{d(2)[0]}) {' '.join(d(4, 4))}", sep.join(["9" + d(2)[0], *d(3, 3)]), sep.join(["6" + d(2)[0], *d(2, 2, 2)]), f"({area}) {d(7)[0]}", sep.join(["1", *d(3, 3, 4)])],
+    }
+    false = [
+        f"{word} at home dot com", f"{word} at {host}.{ending}", f"{word} at noon.{word}", f"{word} at {host}.The", f"{word} @ {host}.x", f"{d(1)[0]} at {d(1)[0]}.{d(2)[0]}",
+        f"{d(1)[0]}. {d(1)[0]}. {d(2)[0]}. {d(1)[0]}", " . ".join(d(1, 1, 1, 2)), ". ".join(str(300 + draw.randrange(600)) for _ in range(4)), ". ".join(d(2, 1, 3, 1)),
+        fours(wrong, "."), fours(wrong, "/"), wrong, "/".join(d(4, 4, 4)), fours(wrong, " - "), "".join(d(draw.choice([12, 13, 14, 16]))),
+        f"{year}-{draw.randint(1, 12):02d}-{draw.randint(1, 28):02d}", f"{draw.randint(1, 28):02d}.{draw.randint(1, 12):02d}.{year}", f"{draw.randint(1, 28)}/{draw.randint(1, 12)}/{year}", f"{draw.randint(1, 28):02d}.{draw.randint(1, 12):02d}.{year} {draw.randint(0, 23):02d}:{d(2)[0]}", f"{year}-{draw.randint(1, 12):02d}-{draw.randint(1, 28):02d} {draw.randint(0, 23):02d}:{d(2)[0]}:{d(2)[0]}", f"{year}-{draw.randint(1500, 2059)}", f"{year} {d(3)[0]}", f"{d(1)[0]}.{d(7)[0]}", f"{d(2)[0]} {' '.join(d(3, 3))}", f"{d(1)[0]} {' '.join(d(3, 3))}", f"{d(3)[0]} {d(3)[0]}",
+        f"{d(3)[0]}.{d(3)[0]}", "-".join(["978", *d(1, 4, 4, 1)]), "-".join(d(4, 4)), "-".join(d(4, 3)), "-".join(d(3, 2, 4)), f"{d(2)[0]}/{'/'.join(d(3, 4))}", f"{d(4)[0]}/{d(5)[0]}", f"{d(5)[0]}-{d(4)[0]}", " ".join(d(2, 2, 2, 2, 2)), " ".join(d(1, 2, 3, 2)), f"{year}{d(4)[0]} {d(4)[0]}", f"{d(6)[0]}.{d(3)[0]}", f"({year}) {d(3)[0]}", f"{d(2)[0]}-{d(2)[0]} {year}",
     ]
-    which = draw(6, len(choices))
-    after = pick(7, ".", " and so on.", ", please.", " today", "", " (new)")
-    lead = pick(8, "", "The plan: ", "As said, ", "Well, ")
-    case = lambda i: F.coalesce(*(F.when(which == k, F.lit(c[i]) if isinstance(c[i], str) else c[i]) for k, c in enumerate(choices)))
-    plain = F.when(draw(9, 5) == 0, F.lit("see ")).otherwise(case(2))
-    return made.select(F.col("id").alias("doc_id"), F.concat(lead, plain, case(1), after).alias("text"), case(0).alias("truth"))
+    said = {
+        "email": ["mail me at ", "contact: ", "write to ", "e-mail ", "reach ", "schreib an ", "correo: "], "ip": ["server ", "host ", "login from ", "ping ", "ip ", "address "], "card": ["card ", "visa ", "my card number is ", "pay with ", "Karte ", "tarjeta "],
+        "phone": ["call ", "phone: ", "tel ", "ring ", "mobile ", "my number is ", "Anruf ", "fax ", "text me on ", "appelle "], "": ["order ", "serial ", "invoice ", "version ", "section ", "isbn ", "total of ", "ref ", "build ", "on ", "between ", "from ", "about ", "figure ", "they ", "page ", "price "],
+    }
+    kind = draw.choice(["", "", "", "", *KINDS, "card", "phone", "phone", "ip"])
+    span = draw.choice(true[kind] if kind else false)
+    cue = draw.choice(said[kind]) if draw.random() < 0.7 else draw.choice(["", "see ", "and ", "the ", "it is ", "or ", "then "])
+    if not kind and draw.random() < 0.1:
+        cue = draw.choice(said[draw.choice(KINDS)])
+    lead = draw.choice(["", "The plan: ", "As said, ", "Well, ", "Yesterday we met and ", "Bitte ", "Por favor, "]) + cue
+    after = draw.choice([".", " and so on.", ", please.", " today", "", " (new)", " ok", "\nNext", " or later", "!"])
+    return [lead + span + after, kind, len(lead), len(lead) + len(span)]
+
+
+def _made_texts(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
+    """(doc_id, text, truth, from, to): n texts that hold one span each, personal data of a kind or a look-alike (truth '')."""
+    draw = random.Random(seed)
+    rows = [dict(zip(("doc_id", "text", "truth", "from", "to"), (i, *_made(draw)), strict=True)) for i in range(n)]
+    schema = "array<struct<doc_id:long,text:string,truth:string,from:long,to:long>>"
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), schema)).alias("r")).select("r.*")
 
 
 def _as_sql(tree: str) -> str:
@@ -165,11 +198,12 @@ def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = D
     """
     if known := _FITTED.get((n, trees, depth, precision)):
         return known
-    made = keep(_made_texts(spark, n).coalesce(2))
-    rows = featured(keep(candidates(made))).join(made.select("doc_id", "truth"), "doc_id").withColumn("y", (F.col("truth") == F.col("kind")).cast("double"))
-    rows = keep(rows.select("y", "kind", *FEATURES, (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).coalesce(2))
+    made = keep(_made_texts(spark, n))
+    y = (F.col("truth") == F.col("kind")) & (F.col("start") == F.col("from")) & (F.col("end") == F.col("to"))
+    found = featured(keep(candidates(made)).filter("not base")).join(made.select("doc_id", "truth", "from", "to"), "doc_id").withColumn("y", y.cast("double"))
+    rows = keep(found.select("y", "kind", *FEATURES, (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).coalesce(2))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.filter("not held"))
-    model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(vectors)
+    model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=24).fit(vectors)
     score = " + ".join(f"{float(w)!r}D * {_as_sql(t.toDebugString)}" for w, t in zip(model.treeWeights, model.trees, strict=True))
     score = f"1D / (1D + exp(-2D * ({score})))"
     # at most SAMPLE scores; the lowest one above which held-out candidates are right often enough
@@ -187,24 +221,33 @@ def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = D
 def spans(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) -> DataFrame:
     """(doc_id, h, kind, start, end, base, score) of all personal data; code points, end exclusive.
 
-    Spans of the base rules always stand.  Others must reach their kind's score, overlap no base span, and not be
-    outscored by a neighbour that they overlap.
+    Spans of the base rules always stand.  Others must reach their kind's score and overlap no base span; of those that
+    overlap each other, directly or in a chain, the best by score, then length, then place is taken first, then the best
+    of what does not overlap it, and so on.
     """
     score, limits = model or fit(docs.sparkSession)
     # candidates are few beside the texts; stored, their features are not written out again in each tree of the score
-    rows = keep(featured(keep(candidates(docs))).select("doc_id", "h", "kind", "start", "end", "strict", *FEATURES))
+    rows = featured(keep(candidates(docs))).filter("strict or not base")
+    rows = keep(rows.select("doc_id", "h", "kind", "start", "end", "strict", *FEATURES))
     rows = rows.select("doc_id", "h", "kind", "start", "end", "strict", F.expr(score).alias("score"))
     limit = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in limits.items()))
     rows = rows.filter(F.col("strict") | (F.col("score") >= limit)).groupBy("doc_id", "h", "kind", "start", "end").agg(F.max("strict").alias("base"), F.max("score").alias("score"))
     text = W.partitionBy("doc_id", "h").orderBy("start", "end", "kind")
     before, after = text.rowsBetween(W.unboundedPreceding, -1), text.rowsBetween(1, W.unboundedFollowing)
     rows = rows.withColumn("base_end", F.max(F.when(F.col("base"), F.col("end"))).over(before)).withColumn("base_start", F.min(F.when(F.col("base"), F.col("start"))).over(after))
-    clear = F.coalesce(F.col("base_end") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("base_start") >= F.col("end"), F.lit(True))
-    rows = rows.filter(F.col("base") | clear)
-    left, right = [F.struct("start", "end", "score", "base")] * 2
-    rows = rows.withColumn("l", F.lag(left).over(text)).withColumn("r", F.lead(right).over(text))
-    beaten = (F.col("l.end") > F.col("start")) & (F.col("l.score") >= F.col("score")) | (F.col("r.start") < F.col("end")) & (F.col("r.score") > F.col("score"))
-    return rows.filter(F.col("base") | ~F.coalesce(beaten, F.lit(False))).select("doc_id", "h", "kind", "start", "end", "base", "score")
+    # a base span that starts at the same place may sort behind: it has a later end
+    same = W.partitionBy("doc_id", "h", "start")
+    clear = F.coalesce(F.col("base_end") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("base_start") >= F.col("end"), F.lit(True)) & ~F.col("starts_base")
+    rows = rows.withColumn("starts_base", F.max("base").over(same)).filter(F.col("base") | clear)
+    standing = rows.filter("base").select("doc_id", "h", "kind", "start", "end", "base", "score")
+    added = rows.filter("not base")
+    apart = F.coalesce(F.max("end").over(before) <= F.col("start"), F.lit(True))
+    added = added.withColumn("apart", apart).withColumn("chain", F.count_if("apart").over(text.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    best_first = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("worse"), (F.col("start") - F.col("end")).alias("shorter"), "start", "kind", "end", "score")))
+    chains = added.groupBy("doc_id", "h", "chain").agg(best_first.alias("spans"))
+    taken = F.expr("aggregate(spans, slice(spans, 1, 0), (got, x) -> IF(exists(got, y -> y.start < x.end AND x.start < y.end), got, concat(got, array(x))))")
+    chosen = chains.select("doc_id", "h", F.explode(taken).alias("s")).select("doc_id", "h", "s.kind", "s.start", "s.end", F.lit(False).alias("base"), "s.score")
+    return standing.unionByName(chosen)
 
 
 def _listed(condition: Column | None = None) -> Column:
