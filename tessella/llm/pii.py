@@ -277,7 +277,7 @@ def report(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) -
 def redacted(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) -> DataFrame:
     """The documents with each span replaced by its kind in brackets; other columns, and null texts, stay as they are."""
     found = spans(docs, model)
-    text = W.partitionBy("doc_id", "h").orderBy("start", "end", "kind")
+    text = W.partitionBy("doc_id", "h").orderBy("start", F.desc("end"), "kind")
     reached = F.coalesce(F.max("end").over(text.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
     found = found.withColumn("from", F.greatest("start", reached)).filter("from < end")
     cuts = found.groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_g")).agg(F.array_sort(F.collect_list(F.struct("from", "end", "kind"))).alias("_cuts"))

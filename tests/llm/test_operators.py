@@ -161,7 +161,7 @@ def test_pii(spark):
     clean = {r.doc_id: r.text for r in pii.redacted(docs(spark, texts), model).collect()}
     for i, t in enumerate(texts[:150]):
         want, reached = "", 0
-        for kind, start, end in (x.split(":") for x in out[i].spans.split(",") if x):
+        for kind, start, end in sorted((x.split(":") for x in out[i].spans.split(",") if x), key=lambda x: (int(x[1]), -int(x[2]), x[0])):
             start = max(int(start), reached)
             if start < int(end):
                 want, reached = want + t[reached:start] + f"[{kind.upper()}]", int(end)
