@@ -2,12 +2,15 @@
 
 Paragraphs earn points for length and commas and pass them to their ancestors, less with distance; an element's points
 are discounted by the share of its text that is links.  The best container is kept, with those of its siblings that read
-like it; menus, forms, adverts and the like are cut out of the tree beforehand.
+like it, whatever their length; menus, forms, adverts and the like are cut out of the tree beforehand.
+
+Parsing and scoring take time in proportion to the page, however deep, unbalanced or broken its markup is.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -20,13 +23,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 DROPPED = frozenset("head script style title textarea nav footer aside form noscript iframe button select option template svg canvas object audio video math dialog menu input label fieldset noembed noframes xmp map".split())
 BLOCKS = frozenset(
-    "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption br".split()
+    "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 div section article main".split())
 #: A start tag here closes an open paragraph.
-CLOSES_P = BLOCKS - {"br", "body", "html"}
-#: A start tag closes an open element of these, up to a container.
-CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+CLOSES_P = BLOCKS - {"body", "html"}
+#: Elements that a start tag of their like closes if it is open below the nearest container: paragraphs, items, rows, cells.
+KIND = {"p": 0, "li": 1, "dt": 2, "dd": 2, "tr": 3, "td": 4, "th": 4}
 LIMITS = frozenset("ul ol dl table tbody thead tfoot menu body html div article section main".split())
 #: Words of a class, id or role that mark what is no main text.
 UNLIKELY = frozenset(
@@ -39,20 +42,30 @@ LIKELY = frozenset("article body content entry main page post story text".split(
 #: Words of a name that says what an element has or lacks, not what it is.
 SAYS_HAS = frozenset("has with no without".split())
 
-_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)", re.S)
+#: A comment, a declaration, or the name of a tag; and what stands in a tag up to a quote or its end.
+_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*)|[!?][^>]*+>|/[^a-zA-Z>][^>]*+>|(/?)([a-zA-Z][^\s/>]*+))", re.S)
+_UNQUOTED = re.compile(r"[^>\"']*+")
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "words", "length", "linked", "points")
+    __slots__ = ("tag", "parent", "children", "words", "length", "linked", "commas", "flow", "points", "open", "inside")
 
     def __init__(self, tag: str, parent: Node | None, words: frozenset = frozenset()) -> None:
         self.tag, self.parent, self.words = tag, parent, words
         self.children: list[Node | str] = []
-        self.length = self.linked = 0
+        self.length = self.linked = self.commas = 0
+        #: Length and commas of the text that is not in blocks of its own.
+        self.flow = (0, 0)
         self.points = 0.0
+        #: The nearest open element of each KIND below the nearest container, and whether an article is open.
+        self.open: tuple = (None,) * 5 if parent is None or tag in LIMITS else parent.open
+        if tag in KIND:
+            k = KIND[tag]
+            self.open = (*self.open[:k], self, *self.open[k + 1 :])
+        self.inside: bool = tag in ("article", "main") or parent is not None and parent.inside
 
 
 def _marks(attributes: str) -> tuple[frozenset, bool, bool]:
@@ -78,21 +91,57 @@ def _marks(attributes: str) -> tuple[frozenset, bool, bool]:
     return frozenset(words), bad and not good, hidden
 
 
+class _Scanner:
+    """Finds the ends of tags; once a quote turns out to be open to the end of the page, quotes mean nothing any more."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.quotes = html, True
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends the tag whose name ends at `at`, or -1."""
+        if self.quotes:
+            here = at
+            while (here := _UNQUOTED.match(self.html, here).end()) < len(self.html):
+                if self.html[here] == ">":
+                    return here
+                here = self.html.find(self.html[here], here + 1) + 1
+                if not here:
+                    break
+            self.quotes = False
+        return self.html.find(">", at)
+
+
 def parse(html: str) -> Node:
     """The tree of a page without what is never main text; any input gives a tree."""
     root = node = Node("html", None)
+    scanner, opened = _Scanner(html), Counter()
     skip, depth, at = "", 0, 0
-    end = len(html)
+    end, last = len(html), html.rfind(">")
+
+    def closed(upto: Node) -> Node:
+        """Leave all open elements up to this one."""
+        at = node
+        while at is not upto.parent:
+            opened[at.tag] -= 1
+            at = at.parent
+        return at
+
     while at < end:
-        m = _TAG.search(html, at)
+        m = _TAG.search(html, at) if at <= last or "<!--" in html[max(at, last) :] else None
         if not skip and (text := html[at : m.start() if m else end]):
             node.children.append(text)
         if m is None:
             break
         at = m.end()
-        close, tag, attributes = m.groups()
+        close, tag = m.groups()
         if not tag:
             continue
+        stop = scanner.end(at)
+        if stop < 0:
+            if not skip:
+                node.children.append(m[0])
+            continue
+        attributes, at = html[at:stop], stop + 1
         tag = tag.lower()
         if not close and tag in RAW:
             # the text of these ends at their own end tag only
@@ -107,28 +156,25 @@ def parse(html: str) -> Node:
                     skip = ""
             continue
         if close:
-            found = node
-            while found is not None and found.tag != tag:
-                found = found.parent
-            if found is not None and found.parent is not None:
-                node = found.parent
+            if opened[tag] > 0:
+                found = node
+                while found.tag != tag:
+                    found = found.parent
+                node = closed(found)
+            continue
+        if tag == "br":
+            node.children.append(" ")
             continue
-        if tag in CLOSES_P:
-            found = node
-            while found is not None and found.tag not in LIMITS and found.tag != "p":
-                found = found.parent
-            if found is not None and found.tag == "p":
-                node = found.parent
-        if tag in CLOSES:
-            found = node
-            while found.parent is not None and found.tag not in LIMITS and found.tag not in CLOSES[tag]:
-                found = found.parent
-            if found.tag in CLOSES[tag]:
-                node = found.parent
+        if tag in CLOSES_P and node.open[0] is not None:
+            node = closed(node.open[0])
+        if tag in KIND and tag != "p":
+            found = node.open[KIND[tag]] or (node.open[4] if tag == "tr" else None)
+            if found is not None:
+                node = closed(found)
         if tag in ("html", "body"):
             continue
         words, unlikely, hidden = _marks(attributes) if attributes else (frozenset(), False, False)
-        if tag in DROPPED or hidden or (tag == "header" and not _inside(node)) or (unlikely and tag not in ("article", "main")):
+        if tag in DROPPED or hidden or (tag == "header" and not node.inside) or (unlikely and tag not in ("article", "main")):
             if tag not in VOID and not attributes.endswith("/"):
                 skip, depth = tag, 1
             continue
@@ -136,17 +182,10 @@ def parse(html: str) -> Node:
         node.children.append(new)
         if tag not in VOID and not attributes.endswith("/"):
             node = new
+            opened[tag] += 1
     return root
 
 
-def _inside(node: Node | None) -> bool:
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return True
-        node = node.parent
-    return False
-
-
 def _measure(root: Node) -> list[Node]:
     """All elements in page order, with the lengths of their text and of its linked part, without recursion."""
     order, stack = [], [root]
@@ -155,12 +194,16 @@ def _measure(root: Node) -> list[Node]:
         order.append(node)
         stack += [c for c in reversed(node.children) if isinstance(c, Node)]
     for node in reversed(order):
-        node.length += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        strings = [c for c in node.children if isinstance(c, str)]
+        length, commas = sum(len(c.strip()) for c in strings), sum(c.count(",") for c in strings)
+        node.flow = (node.flow[0] + length, node.flow[1] + commas)
+        node.length, node.commas = node.length + length, node.commas + commas
         if node.tag == "a":
             node.linked = node.length
-        if node.parent is not None:
-            node.parent.length += node.length
-            node.parent.linked += node.linked
+        if up := node.parent:
+            up.length, up.commas, up.linked = up.length + node.length, up.commas + node.commas, up.linked + node.linked
+            if node.tag not in BLOCKS:
+                up.flow = (up.flow[0] + node.length, up.flow[1] + node.commas)
     return order
 
 
@@ -168,17 +211,44 @@ def _density(node: Node) -> float:
     return node.linked / node.length if node.length else 0.0
 
 
-def best(root: Node) -> list[Node]:
-    """The container of the main text and those siblings that belong to it, in page order."""
+def _reads_like_text(node: Node | str) -> bool:
+    """Whether what stands beside the main container belongs to it: headings, text of its own and what holds paragraphs.
+
+    Lists of links do not, nor do boxes without a paragraph, a heading or the end of a sentence.
+    """
+    if isinstance(node, str):
+        return bool(node.strip())
+    if re.fullmatch("h[1-6]|hgroup", node.tag):
+        return True
+    density = _density(node)
+    if node.tag not in BLOCKS or node.tag in ("p", "pre", "blockquote", "figure", "figcaption", "table", "ul", "ol", "dl"):
+        return density < 0.5
+    if density >= 0.25:
+        return False
+    stack: list = [node]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            if x.rstrip().endswith((".", "!", "?", ":", "\u2026", "\u3002", "\u201d", '"')):
+                return True
+        elif x.tag in ("p", "pre", "blockquote") or re.fullmatch("h[1-6]", x.tag):
+            return True
+        else:
+            stack += x.children
+    return False
+
+
+def best(root: Node) -> list[Node | str]:
+    """The container of the main text and those siblings that belong to it, in page order.
+
+    The container is widened to the article that it is part of, or, as long as all that stands beside it belongs to it,
+    to its parent.
+    """
     order = _measure(root)
     for node in order:
-        if node.tag not in PARAGRAPHS:
+        if node.tag not in PARAGRAPHS or not node.flow[0]:
             continue
-        own = [c for c in node.children if isinstance(c, str)] + [c for x in node.children if isinstance(x, Node) and x.tag not in BLOCKS for c in _strings(x)]
-        text = "".join(own).strip()
-        if not text:
-            continue
-        points = 1.0 + text.count(",") + min(len(text) / 100, 3.0)
+        points = 1.0 + node.flow[1] + min(node.flow[0] / 100, 3.0)
         up, share = (node if node.tag in ("div", "section", "article", "main", "td") else node.parent), 1.0
         for distance in range(1, 6):
             if up is None:
@@ -196,25 +266,17 @@ def best(root: Node) -> list[Node]:
             top, most = node, node.points
     if top.parent is None or most <= 0:
         return [root]
+    at = top
+    while at is not None and at.tag != "article":
+        at = at.parent
+    top = at or top
     limit = max(10.0, 0.2 * top.points)
-    kept = []
-    for node in top.parent.children:
-        if not isinstance(node, Node):
-            continue
-        if node is top or node.points >= limit or (node.tag == "p" and node.length > 80 and _density(node) < 0.25):
-            kept.append(node)
-    return kept
-
-
-def _strings(node: Node) -> list[str]:
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        else:
-            stack += reversed(x.children)
-    return out
+    while True:
+        beside = [x for x in top.parent.children if isinstance(x, Node) and x.length or isinstance(x, str) and x.strip()]
+        kept = [x for x in beside if x is top or isinstance(x, Node) and x.points >= limit or _reads_like_text(x)]
+        if len(kept) < len(beside) or top.parent.parent is None:
+            return kept
+        top = top.parent
 
 
 def main_text(html: str | None) -> str:

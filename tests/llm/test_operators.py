@@ -405,3 +405,28 @@ def test_pii_on_texts_not_made_by_the_fitter(spark):
 def test_pii_takes_the_best_of_all_that_overlap(spark):
     d = docs(spark, ["visa 4111.1111.1111.1111 ok", "card 5500.0000.0000.0004"])
     assert [r.text for r in pii.redacted(d).orderBy("doc_id").collect()] == ["visa [CARD] ok", "card [CARD]"]
+
+
+def test_main_text_keeps_short_parts_of_the_article():
+    long = "".join(f"<p>Paragraph {i}, with words, commas, and some more of both, as texts have.</p>" for i in range(10))
+    lines = [f"Paragraph {i}, with words, commas, and some more of both, as texts have." for i in range(10)]
+    page = f"<body><div class=menu><a href=x>Home</a></div><div><h1>Title</h1><p>Short intro.</p><div class=body>{long}</div>Loose words.<p>Short end.</p><section><p>One more.</p></section><ul><li><a href=y>Other page</a></li></ul></div><footer>f</footer></body>"
+    assert html.main_text(page).split("\n") == ["Title", "Short intro.", *lines, "Loose words.", "Short end.", "One more."]
+    assert html.main_text(f"<div><h1>Title</h1><div><p>By line one.</p><div>{long}</div></div></div>").split("\n") == ["Title", "By line one.", *lines]
+    assert html.main_text(f"<article><h2>Head</h2><div><div>{long}</div></div><p>End</p></article>").split("\n") == ["Head", *lines, "End"]
+    assert html.main_text("<p>one line,<br>the same, block\n of  text</p><p>two, more, words</p>") == "one line, the same, block of text\ntwo, more, words"
+
+
+def test_main_text_in_time_linear_in_the_page():
+    import time
+
+    pages = ["<div><span>" * 50_000 + "x", "</b></i></p>" * 50_000, "<a \"x <b 'y " * 50_000, '<a ">" ' * 50_000, "<" * 300_000, "<p>a<b>" * 50_000, "<ul><li>a" * 30_000, "<span>a, " * 60_000, "<div>" * 50_000 + "</span>" * 50_000]
+    for page in pages:
+        began = time.time()
+        html.main_text(page)
+        assert time.time() - began < 5, page[:20]
+
+
+def test_pages_with_other_columns(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a, b</p>", "t", 5, "tag")], "page_id long, url string, html string, text string, n_chars int, tag string")
+    assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "u", "a, b", 4)]
