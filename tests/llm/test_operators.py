@@ -430,3 +430,41 @@ def test_main_text_in_time_linear_in_the_page():
 def test_pages_with_other_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a, b</p>", "t", 5, "tag")], "page_id long, url string, html string, text string, n_chars int, tag string")
     assert [tuple(r) for r in html.extract(pages).collect()] == [(1, "u", "a, b", 4)]
+
+
+def test_license_labels_equal_brute_force(spark):
+    draw = random.Random(12)
+    long = [phrase.split() for _, phrase in licenses.TEMPLATES if len(phrase.split()) > licenses.PHRASE]
+    texts = ["to use copy " * 11, "permission to use x permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"]
+    for _ in range(150):
+        w = []
+        for _ in range(draw.randint(1, 3)):
+            part = list(draw.choice(long))
+            for _ in range(draw.randint(0, 4)):
+                at = draw.randrange(len(part))
+                part[at : at + draw.randint(0, 3)] = draw.choice([[], ["extra"], ["one", "two"], part[at : at + 2] * 2])
+            w += part[draw.randint(0, 6) : len(part) - draw.randint(0, 6)] + ["so"] * draw.randint(0, 3)
+        texts.append(" ".join(w))
+    out = {r.doc_id: r.labels for r in licenses.scan(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        w, labels = t.split(), set()
+        for label, phrase in (*licenses.BASE, *licenses.TEMPLATES):
+            want = phrase.split()
+            if len(want) <= licenses.PHRASE:
+                labels |= {label} if any(w[a : a + len(want)] == want for a in range(len(w))) else set()
+                continue
+            hits = [(p, a) for p in range(len(want) - 2) for a in range(len(w) - 2) if want[p : p + 3] == w[a : a + 3]]
+            runs = []
+            for d in sorted({a - p for p, a in hits}):
+                if not runs or d - runs[-1][-1] > licenses.GAP:
+                    runs.append([])
+                runs[-1].append(d)
+            for run in runs:
+                n, last = 0, None
+                for p, a in sorted(x for x in hits if x[1] - x[0] in run):
+                    if last is None or (p > last[0] and a > last[1] and abs((a - last[1]) - (p - last[0])) <= licenses.GAP):
+                        n, last = n + 1, (p, a)
+                if n / (len(want) - 2) >= licenses.COVERAGE:
+                    labels.add(label)
+        assert out[i] == ",".join(sorted(labels)), t
+    assert out[0] == "" and out[1] == "isc" and sum(bool(x) for x in out.values()) > 50
