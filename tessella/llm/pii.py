@@ -42,6 +42,8 @@ GENERATORS = (
     ("phone", False, r"(?<![0-9A-Za-z+.@])(?:\([0-9]{1,5}\)[\x20./-]{0,2}|[0-9]{1,6}[\x20./-]{1,2})(?:\([0-9]{1,5}\)[\x20./-]{0,2})?[0-9]{2,8}(?:[\x20./-]{1,2}[0-9]{2,5}){0,4}(?![0-9A-Za-z])"),
     ("ip", False, r"(?<![0-9.])[0-9]{1,3}(?:(?: ?\. ?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?!\.?[0-9])"),
 )
+#: Marks around what a generator finds.
+OPEN, CLOSE = "\x01", "\x02"
 #: Code points of context on either side.
 CONTEXT = 24
 # zeros, a number up to 255, or both; spans have a digit in each part
@@ -69,18 +71,21 @@ def luhn(digits: Column) -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, h, kind, base, start, end, span, before, after): all spans proposed; h tells the texts of a doc_id apart.
 
-    A generator's matches and the pieces between them give the places: the lengths up to a match are summed over the
-    document, which is linear in the number of matches.
+    One search of a generator puts marks around its matches; the pieces between marks give texts and places, the lengths
+    up to a match being summed over the document.  All of it is linear in the text and the number of matches.
     """
     text = none_as_empty()
     digits, marks = text.rlike("[0-9]"), text.rlike("@|(?i) at |[\\[({] ?at")
-    found = docs.select("doc_id", F.xxhash64("text").alias("h"), text.alias("text"), digits.alias("digits"), marks.alias("marks"))
-    searched = [F.when(F.col("marks" if kind == "email" else "digits"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m{g}") for g, (kind, _, pattern) in enumerate(GENERATORS)]
-    found = found.select("doc_id", "h", "text", *searched)
-    # no match, no pieces: the second search runs over the few texts that need it
-    found = found.select("doc_id", "h", *(f"m{g}" for g in range(len(GENERATORS))), *(F.when(F.size(f"m{g}") > 0, F.split("text", pattern, -1)).alias(f"p{g}") for g, (_, _, pattern) in enumerate(GENERATORS)))
+    # the marks themselves become another control character first, which no generator tells from them
+    found = docs.select("doc_id", F.xxhash64("text").alias("h"), F.translate(text, OPEN + CLOSE, "\x03\x03").alias("text"), digits.alias("digits"), marks.alias("marks"))
+    marked = [F.when(F.col("marks" if kind == "email" else "digits"), F.regexp_replace("text", pattern, f"{OPEN}$0{CLOSE}")).alias(f"t{g}") for g, (kind, _, pattern) in enumerate(GENERATORS)]
+    found = found.select("doc_id", "h", *marked)
+    found = found.select("doc_id", "h", *(F.when(F.instr(f"t{g}", OPEN) > 0, F.split(f"t{g}", f"[{OPEN}{CLOSE}]", -1)).alias(f"p{g}") for g in range(len(GENERATORS))))
     spans = [
-        F.expr(f"coalesce(transform(m{g}, (m, i) -> named_struct('g', {g}, 'i', i, 'm', m, 'gap', char_length(p{g}[i]), 'before', right(p{g}[i], {CONTEXT}), 'after', left(p{g}[i + 1], {CONTEXT}))), array())")
+        F.expr(
+            f"coalesce(transform(sequence(0, shiftright(size(p{g}), 1) - 1), i -> named_struct('g', {g}, 'i', i, 'm', p{g}[2 * i + 1], "
+            f"'gap', char_length(p{g}[2 * i]), 'before', right(p{g}[2 * i], {CONTEXT}), 'after', left(p{g}[2 * i + 2], {CONTEXT}))), array())"
+        )
         for g in range(len(GENERATORS))
     ]
     rows = found.select("doc_id", "h", F.explode(F.concat(*spans)).alias("s")).select("doc_id", "h", "s.*").dropDuplicates(["doc_id", "h", "g", "i"])
