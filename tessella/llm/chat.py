@@ -27,8 +27,8 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 STATES = ("start", "system", "user", "assistant")
 #: Costs of a changed role, of a merge into the turn before, and of an inserted empty turn.
 RELABEL, MERGE, INSERT = 3.0, 1.0, 2.0
-#: Messages of a block.
-BLOCK = 2048
+#: Turn numbers of a block; blocks whose matrices one task combines.
+BLOCK, FAN = 2048, 256
 
 # Other names of the three roles in public chat datasets.
 ALIASES = {"human": "user", "prompter": "user", "question": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant", "answer": "assistant", "developer": "system"}
@@ -115,8 +115,9 @@ def _matrices(rows: pd.DataFrame) -> list[np.ndarray]:
     return [np.array(m, float).reshape(4, 4) for m in rows["matrix"]]
 
 
-def _ends(blocks: DataFrame, fan: int = 256) -> DataFrame:
+def _ends(blocks: DataFrame, fan: int | None = None) -> DataFrame:
     """(conv, block, entry, leave) from (conv, block, matrix), by combining neighbours until few are left of each."""
+    fan = fan or FAN
     most = blocks.groupBy("conv").count().agg(F.max("count")).first()[0]
     schema = "conv string, block long, entry int, leave int"
 
@@ -161,47 +162,48 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], solve: Callable[[list[dict]],
 
 
 def _by_block(rows: DataFrame) -> DataFrame:
-    return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")))
+    return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")), F.col("role").asc_nulls_first())
 
 
 def _messages(turns: DataFrame) -> DataFrame:
-    """(conv, turn, role, new_role, action, inserted, first): the repair of each message.
+    """(conv, turn, role, new_role, action, inserted, first, last): the repair of each message.
 
     Only conversations of several blocks need the matrices; all others are repaired in one pass.
     """
     light = turns.select("conv", "block", "turn", "role").distinct()
-    several = light.groupBy("conv").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("conv")
+    several = light.groupBy("conv").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("conv", "hi")
 
     def measure(rows: list[dict]) -> list[dict]:
         return [{"conv": rows[0]["conv"], "block": rows[0]["block"], "matrix": block_matrix([role_of(r["role"]) for r in rows]).ravel().tolist()}]
 
     def mend(rows: list[dict]) -> list[dict]:
-        said, (entry, leave) = [role_of(r["role"]) for r in rows], (rows[0]["entry"], rows[0]["leave"])
+        said, (entry, leave, closing) = [role_of(r["role"]) for r in rows], (rows[0][c] for c in ("entry", "leave", "closing"))
         if entry is None:
-            entry, leave = path([block_matrix(said)])[0]
+            (entry, leave), closing = path([block_matrix(said)])[0], True
         steps = repair(said, entry, leave)
         return [
-            {"conv": r["conv"], "turn": r["turn"], "role": r["role"], "new_role": STATES[s], "action": a, "inserted": STATES[m] if m >= 0 else None, "first": k == 0 and entry == START}
+            {"conv": r["conv"], "turn": r["turn"], "role": r["role"], "new_role": STATES[s], "action": a, "inserted": STATES[m] if m >= 0 else None, "first": k == 0 and entry == START, "last": closing and k == len(rows) - 1}
             for k, (r, (s, a, m)) in enumerate(zip(rows, steps, strict=True))
         ]
 
     blocks = pa.schema([("conv", pa.string()), ("block", pa.int64()), ("matrix", pa.list_(pa.float64()))])
     matrices = _by_block(light.join(several, "conv", "left_semi")).mapInArrow(lambda it: _in_blocks(it, measure, blocks), "conv string, block long, matrix array<double>")
-    ends = _ends(keep(matrices))
-    done = pa.schema([("conv", pa.string()), ("turn", pa.int64()), ("role", pa.string()), ("new_role", pa.string()), ("action", pa.string()), ("inserted", pa.string()), ("first", pa.bool_())])
+    ends = _ends(keep(matrices)).join(several, "conv").select("conv", "block", "entry", "leave", (F.col("block") == F.col("hi")).alias("closing"))
+    done = pa.schema([("conv", pa.string()), ("turn", pa.int64()), ("role", pa.string()), ("new_role", pa.string()), ("action", pa.string()), ("inserted", pa.string()), ("first", pa.bool_()), ("last", pa.bool_())])
     rows = _by_block(light.join(ends, ["conv", "block"], "left"))
-    return rows.mapInArrow(lambda it: _in_blocks(it, mend, done), "conv string, turn long, role string, new_role string, action string, inserted string, first boolean")
+    return rows.mapInArrow(lambda it: _in_blocks(it, mend, done), "conv string, turn long, role string, new_role string, action string, inserted string, first boolean, last boolean")
 
 
 def repaired(turns: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per message: conv_id, turn, role, new_role, action, inserted, rendered.
+    """One row per message: conv_id, turn, role, part, new_role, action, inserted, rendered.
 
-    Messages of a conversation are taken by turn (null first), then role; rows of equal turn and role are parts of one
-    message, in the order of their texts, and all but the first merge into it.  `action` is keep, relabel, merge or
+    Messages of a conversation are taken by turn (null first), then role (null as empty); rows of equal turn and role are
+    parts of one message, in the order of their texts, numbered by `part` from 1, and all but the first merge into it.
+    Turn, role and part so give each row its place (`in_order` sorts by them).  `action` is keep, relabel, merge or
     relabel+merge; `inserted` is the role of an empty turn placed before the message, or null.  An unknown or null role
     takes any legal one at no cost; a null text is empty; a null conv_id is a conversation like any other; other columns
     are ignored; an empty table gives an empty result.  The repair has the least total cost of all legal sequences; ties
-    go to the smaller state number.  The `rendered` pieces of a conversation, in order, are its rendered form: every turn
+    go to the smaller state number, block by block.  The `rendered` pieces of a conversation, in order, are its rendered form: every turn
     is `<|role|>`, a line end, its texts joined by a line end, and `<|end|>` with a line end.
     """
     rows = turns.select(
@@ -209,12 +211,11 @@ def repaired(turns: DataFrame, block: int = BLOCK) -> DataFrame:
         F.col("turn").cast("long").alias("turn"), "role", none_as_empty().alias("text"),
     )
     steps = _messages(rows)
-    last = rows.groupBy("conv").agg(F.max(F.struct(F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 63))).alias("n"), F.coalesce("role", F.lit("")).alias("r"))).alias("last"))
     parts = W.partitionBy("conv", "turn", "role")
     numbered = rows.withColumn("part", F.row_number().over(parts.orderBy("text"))).withColumn("parts", F.count("*").over(parts))
     steps = steps.select(*(F.col(c).alias(f"s_{c}") for c in steps.columns))
     same = (F.col("conv") == F.col("s_conv")) & F.col("turn").eqNullSafe(F.col("s_turn")) & F.col("role").eqNullSafe(F.col("s_role"))
-    out = numbered.join(steps, same).join(last.select(F.col("conv").alias("l_conv"), "last"), F.col("conv") == F.col("l_conv"))
+    out = numbered.join(steps, same)
     inner = F.col("part") > 1
     action = F.when(inner, F.when(F.col("s_action").startswith("relabel"), "relabel+merge").otherwise("merge")).otherwise(F.col("s_action"))
     opened = lambda role: F.concat(F.lit("<|"), role, F.lit("|>\n"))
@@ -222,10 +223,18 @@ def repaired(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     starts = ~action.endswith("merge")
     inserted = F.when(~inner, F.col("s_inserted"))
     before = F.when(starts, F.concat(F.when(F.col("s_first"), F.lit("")).otherwise(close), F.coalesce(F.concat(opened(inserted), close), F.lit("")), opened(F.col("s_new_role")))).otherwise(F.lit("\n"))
-    is_last = (F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 63))) == F.col("last.n")) & (F.coalesce("role", F.lit("")) == F.col("last.r")) & (F.col("part") == F.col("parts"))
+    is_last = F.col("s_last") & (F.col("part") == F.col("parts"))
     missing = F.when(F.col("s_new_role") == "user", F.concat(opened(F.lit("assistant")), close)).when(F.col("s_new_role") == "system", F.concat(opened(F.lit("user")), close, opened(F.lit("assistant")), close)).otherwise(F.lit(""))
     rendered = F.concat(before, F.col("text"), F.when(is_last, F.concat(close, missing)).otherwise(F.lit("")))
     return out.select(
-        F.expr("cast(nullif(conv, '') as long)").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.col("s_new_role").alias("new_role"),
+        F.expr("cast(nullif(conv, '') as long)").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "part", F.col("s_new_role").alias("new_role"),
         action.alias("action"), inserted.alias("inserted"), rendered.alias("rendered"),
     )
+
+
+def in_order(messages: DataFrame) -> DataFrame:
+    """The rows of `repaired` sorted by conversation and place, so that their `rendered` pieces follow each other.
+
+    A total sort: ranges of rows go to tasks, so a long conversation is dealt to several.
+    """
+    return messages.orderBy("conv_id", F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")), F.col("role").asc_nulls_first(), "part")

@@ -468,3 +468,25 @@ def test_license_labels_equal_brute_force(spark):
                     labels.add(label)
         assert out[i] == ",".join(sorted(labels)), t
     assert out[0] == "" and out[1] == "isc" and sum(bool(x) for x in out.values()) > 50
+
+
+def test_chat_renders_in_order(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "yes"), (1, None, None, "zero"), (2, 5, "bot", "hi"), (2, 9, "user", "q")], "conv_id long, turn long, role string, text string")
+    rows = chat.in_order(chat.repaired(turns)).collect()
+    got = {c: "".join(r.rendered for r in rows if r.conv_id == c) for c in (1, 2)}
+    assert got[1] == "<|system|>\nzero<|end|>\n<|user|>\na\nb<|end|>\n<|assistant|>\nyes<|end|>\n"
+    assert got[2] == "<|user|>\n<|end|>\n<|assistant|>\nhi<|end|>\n<|user|>\nq<|end|>\n<|assistant|>\n<|end|>\n"
+    assert [(r.turn, r.part) for r in rows if r.conv_id == 1] == [(None, 1), (0, 1), (0, 2), (1, 1)]
+
+
+def test_chat_of_many_blocks_and_other_columns(spark, monkeypatch):
+    draw = random.Random(4)
+    turns = [(c, t, draw.choice(["user", "assistant", "system", None]), "m", "x", 7) for c in range(3) for t in range(60)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, block string, part int")
+    cost = lambda rows: sorted((c, sum(chat.RELABEL * r.action.startswith("relabel") + chat.MERGE * r.action.endswith("merge") + chat.INSERT * (r.inserted is not None) + chat.INSERT * r.rendered.endswith("<|assistant|>\n<|end|>\n") for r in rows if r.conv_id == c)) for c in range(3))
+    whole = cost(chat.repaired(table).collect())
+    monkeypatch.setattr(chat, "FAN", 4)
+    blocks = chat.repaired(table, block=2).collect()
+    # equal in cost; between repairs of equal cost the choice is made block by block
+    assert len(blocks) == 180 and cost(blocks) == whole
+    assert all("".join(r.rendered for r in sorted(blocks, key=lambda r: r.turn) if r.conv_id == c).count("<|end|>") > 10 for c in range(3))
