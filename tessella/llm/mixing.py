@@ -2,11 +2,12 @@
 
 Every document is taken a whole number of times: the integer part of target / size of its source, and once more with the
 remaining inclusion probability.  The cube method's flight moves these fractional probabilities along the null space of
-two balancing totals, documents and words, until each is 0 or 1; only the last few of a source must land unbalanced.
+two balancing totals, documents and words, until each is 0 or 1; every move is a fair game, so each document keeps its
+probability.  Large units are landed first, against all smaller ones, so that what is left to land is small.
 
-Flights run in blocks of bounded size.  The fractional units that a block leaves (two, or a few) meet in the blocks of
-the next level, so a source that holds most rows is worked on by as many tasks as its rows fill, and the last level of a
-source is one small landing problem.
+Flights run in blocks of bounded size.  The fractional units that a block leaves (a few, the smallest) meet in the blocks
+of the next level, so a source that holds most rows is worked on by as many tasks as its rows fill, and the last level of
+a source is one small landing problem.
 """
 
 from __future__ import annotations
@@ -17,16 +18,19 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep
+from .common import keep, stored
 from .words import count_words
 
 #: Weights of the sources by code point, repeating; share of all words that the mix takes; most copies of a document.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Units of a block.
 BLOCK = 4096
+#: Units of a landing problem; so many times three are left by the flight that balances both totals.
+LAND = 10
 #: Probabilities this close to 0 or 1 have landed.
 EPSILON = 1e-9
 
@@ -59,55 +63,52 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
     return {s: float(out[s]) for s in names}
 
 
-def flight(p: list[float], size: list[float], draw: np.random.Generator) -> list[float]:
-    """Move probabilities until at most two units, or units among which nothing can be balanced, stay fractional.
+def flight(p: np.ndarray, size: np.ndarray, draw: np.random.Generator, words_only: bool = False, leave: int = 0) -> np.ndarray:
+    """Move probabilities until at most `leave` units, or units among which nothing can be balanced, stay fractional.
 
-    Keeps the sum of p and the sum of p * size.  Units come in with large sizes first, so that the small ones remain.
+    Keeps the sum of p * size and, unless words_only, the sum of p.  Units come with large sizes first: each in turn
+    moves against all fractional units after it, in proportion to their room p * (1 - p), until it or one of them lands.
     """
-    p = list(p)
-    active: list[int] = []
-    coins = iter(())
-    for i in sorted(range(len(p)), key=lambda k: (-size[k], k)):
-        if not EPSILON < p[i] < 1 - EPSILON:
-            continue
-        active.append(i)
-        while len(active) == 3:
-            a, b, c = active
-            step = (size[c] - size[b], size[a] - size[c], size[b] - size[a])
-            if not any(step):
-                step = (1.0, -1.0, 0.0)
-            up = min((1 - p[k]) / s if s > 0 else p[k] / -s for k, s in zip(active, step, strict=True) if s)
-            down = min(p[k] / s if s > 0 else (1 - p[k]) / -s for k, s in zip(active, step, strict=True) if s)
-            coin = next(coins, None)
-            if coin is None:
-                coins = iter(draw.random(1024).tolist())
-                coin = next(coins)
-            move = up if coin * (up + down) < down else -down
-            for k, s in zip(active, step, strict=True):
-                p[k] += move * s
-                if p[k] < EPSILON:
-                    p[k] = 0.0
-                elif p[k] > 1 - EPSILON:
-                    p[k] = 1.0
-            active = [k for k in active if 0.0 < p[k] < 1.0]
+    p, size = np.array(p, float), np.array(size, float)
+    for i in range(len(p)):
+        while EPSILON < p[i] < 1 - EPSILON:
+            q, s = p[i + 1 :], size[i + 1 :]
+            room = np.where((q > EPSILON) & (q < 1 - EPSILON), q * (1 - q), 0.0)
+            by_size = room * s
+            sums = room.sum(), by_size.sum(), (by_size * s).sum()
+            det = sums[0] * sums[2] - sums[1] ** 2
+            if not sums[0] or leave and np.count_nonzero(room) < leave:
+                return p
+            if not words_only and det > 1e-9 * sums[0] * sums[2]:
+                step = -((sums[2] - size[i] * sums[1]) * room + (size[i] * sums[0] - sums[1]) * by_size) / det
+            elif words_only or (s[room > 0] == size[i]).all():
+                step = -size[i] / sums[2] * by_size
+            else:
+                return p
+            moved = step != 0
+            way, far = step[moved], q[moved]
+            up = min(1 - p[i], (np.where(way > 0, 1 - far, far) / np.abs(way)).min(initial=np.inf))
+            down = min(p[i], (np.where(way > 0, far, 1 - far) / np.abs(way)).min(initial=np.inf))
+            move = up if draw.random() * (up + down) < down else -down
+            p[i] += move
+            q += move * step
+            p[p < EPSILON], p[p > 1 - EPSILON] = 0.0, 1.0
     return p
 
 
-def landing(p: list[float], size: list[float]) -> list[float]:
-    """Round the last fractional units so that the words taken end nearest to what all probabilities stand for.
+def landing(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """Land the last fractional units, and only those.
 
-    The document total is given up first.  Where a large unit cannot land near the total, landed units that are small
-    enough to make it up change sides, largest first.
+    The document total is given up first, by a flight that balances words alone and leaves LAND units; of all ways to
+    land these the one is taken whose words come nearest to what their probabilities stand for, then whose documents do,
+    then the first.
     """
-    order = sorted(range(len(p)), key=lambda k: (-size[k], k))
-    rest = sum(x * s for x, s in zip(p, size, strict=True))
-    out = [float(x > 0.5) for x in p]
-    rest -= sum(x * s for x, s in zip(out, size, strict=True))
-    for i in order:
-        change = size[i] if out[i] == 0.0 else -size[i]
-        if change and abs(rest - change) < abs(rest):
-            out[i], rest = 1.0 - out[i], rest - change
-    return out
+    p = flight(p, size, draw, words_only=True, leave=LAND)
+    left = np.flatnonzero((p > EPSILON) & (p < 1 - EPSILON))
+    ways = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    off = np.abs(ways @ size[left] - p[left] @ size[left]), np.abs(ways.sum(axis=1) - p[left].sum())
+    p[left] = ways[np.lexsort((off[1], off[0].round(6)))[0]]
+    return p
 
 
 def _draw(*key: object) -> np.random.Generator:
@@ -119,9 +120,9 @@ def _flown(units: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("size", "descending"), ("uid", "ascending")])
-        size = [float(s) for s in rows["size"].to_pylist()]
-        p = flight(rows["p"].to_pylist(), size, _draw(seed, level, *(k.as_py() for k in key)))
-        return rows.set_column(rows.column_names.index("p"), "p", pa.array(landing(p, size) if last else p, pa.float64()))
+        size, draw = rows["size"].to_numpy().astype(float), _draw(seed, level, *(k.as_py() for k in key))
+        p = flight(rows["p"].to_numpy(), size, draw, leave=3 * LAND if last else 0)
+        return rows.set_column(rows.column_names.index("p"), "p", pa.array(landing(p, size, draw) if last else p, pa.float64()))
 
     return units.groupBy("source", "block").applyInArrow(run, "source string, block long, uid string, size long, p double")
 
@@ -181,12 +182,25 @@ def _copies(sized: DataFrame, weights: tuple[float, ...], share: float, most: fl
     return rows.withColumn("n_copies", F.when(F.col("size") > 0, F.col("fixed") + once).otherwise(0).cast("long"))
 
 
-def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The mix itself: every document as often as it is taken, numbered by copy_no from 1, with all its other columns."""
-    n = copies(docs, weights, share, most).filter("n_copies > 0")
-    n = n.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.sum("n_copies").alias("_all"), F.count("*").alias("_same"))
-    # rows that repeat a doc_id at the same size share the copies of their group, rounded up
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = 0) -> DataFrame:
+    """The mix itself: every document as often as it is taken, numbered by copy_no from 1, with all its other columns.
+
+    The rows are as many as the copies that `copies` gives.  A null or blank text has no words and is not taken; rows
+    equal in doc_id, source and size share their group's copies, in the order of a hash of the whole row; a column named
+    copy_no is replaced; an empty table gives an empty result.
+    """
+    sized = keep(docs.select("doc_id", "source", words().alias("size")))
+    plan = _copies(sized, weights, share, most, block, seed).filter("n_copies > 0 or same > 1")
+    plan = stored(plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "same", "k", "n_copies"), "plan")
+    again = stored(plan.filter("same > 1").select("_id", "_source", "_size").distinct(), "again")
+    key = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & F.col("doc.source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
     rows = docs.select(F.struct("*").alias("doc"), words().alias("size"))
-    rows = rows.join(n, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("size") == F.col("_size")))
-    times = F.ceil(F.col("_all") / F.col("_same")).cast("int")
-    return rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1), times))).select(*(F.col("doc").getField(c).alias(c) for c in docs.columns if c != "copy_no"), "copy_no")
+    if again.isEmpty():
+        taken = rows.join(plan, key)
+    else:
+        # the few rows that repeat are numbered; all others need no window
+        same = W.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("doc"))
+        numbered = rows.join(again, key).withColumn("place", F.row_number().over(same)).select("doc", "size", "place")
+        taken = rows.join(plan.filter("same = 1"), key).select("doc", "n_copies").unionByName(numbered.join(plan.filter("same > 1"), key & (F.col("place") == F.col("k"))).select("doc", "n_copies"))
+    taken = taken.filter("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))))
+    return taken.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns if c != "copy_no"), "copy_no")
