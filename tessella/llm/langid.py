@@ -2,7 +2,7 @@
 
 Texts are TF-IDF vectors of hashed letter trigrams, of unit length.  Each language has several centroids, found by
 spherical k-means over a bounded sample of labelled rows; a text takes the language of the centroid at the highest
-cosine, and is rejected where even that one is further away than texts of that language are.
+cosine, and is rejected where even that one is much further away than texts of that language and length are.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ from .words import utf8
 DIMENSIONS = 1 << 12
 #: Labelled rows of a language that the classifier is fitted on, chosen by a hash of doc_id; centroids of each.
 SAMPLE, CENTROIDS = 500, 3
-#: A text is rejected below this share of the cosine that all but one in a hundred training texts reach.
-REJECT = 0.15
+#: A text is rejected below this share of the cosine that all but one in a hundred training texts of its language and
+#: length reach; lengths are told apart by powers of two, texts of fewer trigrams than FEW say too little to be rejected,
+#: and ENOUGH texts of a length (of the language, else of all) make a limit of its own.
+REJECT, FEW, ENOUGH, LENGTHS = 0.5, 16, 20, 40
 #: Bytes worked on at once.
 BLOCK = 1 << 20
 
@@ -56,7 +58,8 @@ class Model:
     owner: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     centroids: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMENSIONS), np.float32))
     idf: np.ndarray = field(default_factory=lambda: np.ones(DIMENSIONS))
-    reject_below: float = 0.0
+    #: The least cosine of an accepted text, by language and power of two of its trigrams.
+    limits: np.ndarray = field(default_factory=lambda: np.zeros((0, LENGTHS)))
 
     def predict(self, column: pa.Array) -> pa.Array:
         names, scores, rejected = [], [], []
@@ -71,10 +74,29 @@ class Model:
             best = int(np.argmax(cosine))
             names.append(self.languages[self.owner[best]])
             scores.append(float(min(1.0, max(0.0, cosine[best]))))
-            rejected.append(scores[-1] < self.reject_below)
+            rejected.append(scores[-1] < self.limits[self.owner[best], _length(counts)])
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["lang", "score", "rejected"])
 
 
+def _length(counts: np.ndarray) -> int:
+    return min(int(counts.sum()).bit_length() - 1, LENGTHS - 1)
+
+
+def _limits(language: np.ndarray, length: np.ndarray, reached: np.ndarray, languages: int) -> np.ndarray:
+    """The least cosines, from those that training texts reach; a length without ENOUGH texts takes the limit of the next shorter one."""
+    out = np.zeros((languages, LENGTHS))
+    for k in range(languages):
+        limit = 0.0
+        for size in range(FEW.bit_length() - 1, LENGTHS):
+            alike = length == size
+            own = reached[alike & (language == k)]
+            own = own if len(own) >= ENOUGH else reached[alike]
+            if len(own) >= ENOUGH:
+                limit = REJECT * float(np.quantile(own, 0.01))
+            out[k, size] = limit
+    return out
+
+
 def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
@@ -102,19 +124,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     matrix = np.zeros((len(rows), DIMENSIONS), np.float32)
     for i, (_, _, at) in enumerate(rows):
         matrix[i, lists[0][at].values.to_numpy()] = np.sqrt(lists[1][at].values.to_numpy())
+    lengths = np.array([_length(lists[1][at].values.to_numpy()) for *_, at in rows])
     idf = 1 + np.log((1 + len(rows)) / (1 + np.count_nonzero(matrix, axis=0)))
     matrix *= idf.astype(np.float32)
     for row in matrix:
         row /= np.linalg.norm(row)
     names = sorted({r[0] for r in rows})
-    owner, centres, reached = [], [], []
-    for k, name in enumerate(names):
-        own = matrix[[i for i, r in enumerate(rows) if r[0] == name]]
+    owner, centres, reached = [], [], np.zeros(len(rows))
+    language = np.array([names.index(r[0]) for r in rows])
+    for k in range(len(names)):
+        own = matrix[language == k]
         found = _clustered(own, min(centroids, len(own)))
         owner += [k] * len(found)
         centres.append(found)
-        reached.append((own @ found.T).max(axis=1))
-    return Model(names, np.array(owner), np.concatenate(centres), idf, REJECT * float(np.quantile(np.concatenate(reached), 0.01)))
+        reached[language == k] = (own @ found.T).max(axis=1)
+    return Model(names, np.array(owner), np.concatenate(centres), idf, _limits(language, lengths, reached, len(names)))
 
 
 def _clustered(rows: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
@@ -158,5 +182,9 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The documents whose language is not rejected, with all their columns."""
+    """The documents whose language is not rejected, with all their columns.
+
+    A null text and one without a letter is rejected; repeated rows are kept or dropped alike; a null doc_id changes
+    nothing; if nothing could be learned nothing is kept; an empty table gives an empty result.
+    """
     return docs.filter(~predictor(model or fit(docs))(lettered(docs["text"]))["rejected"])

@@ -222,7 +222,7 @@ def test_language_id_held_out(spark):
 
 def test_language_id_needs_a_letter(spark):
     texts = ["— … 😀 ¿? 12", "→ ok", "the river and the town", "12 34", None, "ñ"]
-    model = langid.Model(["en"], langid.np.array([0]), langid.np.full((1, langid.DIMENSIONS), langid.DIMENSIONS**-0.5, langid.np.float32), reject_below=0.0)
+    model = langid.Model(["en"], langid.np.array([0]), langid.np.full((1, langid.DIMENSIONS), langid.DIMENSIONS**-0.5, langid.np.float32), limits=langid.np.zeros((1, langid.LENGTHS)))
     got = {r.doc_id: (r.lang_pred, r.rejected) for r in langid.identify(docs(spark, texts), model).collect()}
     assert [got[i] for i in range(6)] == [("und", True), ("en", False), ("en", False), ("und", True), ("und", True), ("en", False)]
     assert {r.doc_id for r in langid.accepted(docs(spark, texts), model).collect()} == {1, 2, 5}
@@ -535,3 +535,20 @@ def test_chat_of_many_blocks_and_other_columns(spark, monkeypatch):
     # equal in cost; between repairs of equal cost the choice is made block by block
     assert len(blocks) == 180 and cost(blocks) == whole
     assert all("".join(r.rendered for r in sorted(blocks, key=lambda r: r.turn) if r.conv_id == c).count("<|end|>") > 10 for c in range(3))
+
+
+def test_language_id_rejects_unseen_languages_and_noise(spark):
+    sample = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(sample)
+    draw = random.Random(3)
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    unseen = ["Hän tuli eilen illalla kotiin ja söi lämmintä keittoa perheensä kanssa", "Wczoraj wieczorem wróciłem do domu i zjadłem ciepłą zupę z rodziną", "東京は日本の首都であり、世界でも有数の大都市である。", "Мама мыла раму и пела песню о тёплом лете у моря вчера", "Dün akşam eve geldim ve ailemle birlikte sıcak çorba içtim, sonra uyudum"]
+    texts = unseen + [" ".join([t] * 30) for t in unseen]
+    texts += ["".join(draw.choice(letters + " ") for _ in range(n)) for n in (200, 800, 8000)] + ["".join(draw.choice(signs) for _ in range(n)) for n in (200, 2000)]
+    texts += ["for (int i = 0; i < n; i++) { if (xs[i] > max) max = xs[i]; } return max;" * 5]
+    assert langid.accepted(docs(spark, texts), model).count() <= 0.1 * len(texts)
+    held = langid.identify(sample.filter("text is not null"), model).filter("held_out")
+    # of held-out documents of the learned languages at most one in 500 goes
+    assert held.filter("rejected and lang_pred <> 'und'").count() <= held.count() / 500
+    short = sample.filter("length(text) between 1 and 40")
+    assert langid.accepted(short, model).count() >= 0.98 * short.count()
