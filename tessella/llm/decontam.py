@@ -2,8 +2,8 @@
 
 Tokens that a question can be re-parameterised in (numbers, names, units) become typed placeholders; windows of the
 resulting templates are hash-joined between benchmark items and documents.  A joined window shows which value each slot
-of the item has in the document: an alignment counts only if it replaces equal values equally and holds enough words of
-the item that are no slots.  Windows that are mostly numbers and units are searched for with their values, too, as words.
+of the item has in the document: an alignment counts only if it replaces equal values equally and different names by
+different ones, and holds enough words of the item that are no slots.  Windows that are mostly numbers and units are searched for with their values, too, as words.
 Documents never enter a shuffle: a fixed-size bitmap of the benchmark's window hashes lets only probable hits out of the
 scan.
 """
@@ -178,12 +178,12 @@ def _items(benchmark: DataFrame) -> DataFrame:
                         if size < FEWEST or 2 * valued[at] > size if lane == _EXACT else firm if gap >= 0 else not slots.all():
                             h = int(_rolled(tokens[at : at + size], sums[at : at + 1], size, lane, gap).view(np.int64)[0])
                             known = [at + x for x in np.flatnonzero(~slots).tolist() if x != gap]
-                            rows.append((item, at, size, passage, b - a - size + 1, worded, lane, gap, valued[at] < size, firm, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), known))
-            kinds_ = [pa.int64(), *[pa.int32()] * 7, *[pa.bool_()] * 2, pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2]
-            names = ["item_id", "at", "size", "passage", "windows", "worded", "lane", "gap", "says", "firm", "hash", "literals", "slots", "known"]
+                            rows.append((item, at, size, passage, b - a - size + 1, worded, lane, gap, valued[at] < size, firm, h, own[at : at + size].view(np.int64).tolist(), np.flatnonzero(slots).tolist(), np.flatnonzero(slots & (kind[at : at + size] % 2 == 0)).tolist(), known))
+            kinds_ = [pa.int64(), *[pa.int32()] * 7, *[pa.bool_()] * 2, pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 3]
+            names = ["item_id", "at", "size", "passage", "windows", "worded", "lane", "gap", "says", "firm", "hash", "literals", "slots", "names", "known"]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds_)], names)
 
-    schema = "item_id long, at int, size int, passage int, windows int, worded int, lane int, gap int, says boolean, firm boolean, hash long, literals array<long>, slots array<int>, known array<int>"
+    schema = "item_id long, at int, size int, passage int, windows int, worded int, lane int, gap int, says boolean, firm boolean, hash long, literals array<long>, slots array<int>, names array<int>, known array<int>"
     return benchmark.select("item_id", "text").mapInArrow(run, schema)
 
 
@@ -239,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     searched = sorted(tuple(r) for r in items.select("lane", "size", "gap").distinct().collect())  # at most lanes x WINDOW x gaps
     hits = _hits(docs, bloom(items, "hash"), searched)
     slot = lambda i: F.struct(F.col("literals")[i].alias("b"), F.col("found")[i].alias("d"))
-    joined = hits.join(items, "hash").withColumn("shift", F.col("place") - F.col("at")).withColumn("pairs", F.transform("slots", slot))
+    joined = hits.join(items, "hash").withColumn("shift", F.col("place") - F.col("at")).withColumn("pairs", F.transform("slots", slot)).withColumn("named", F.transform("names", slot))
     # each kind of alignment is consistent by itself, so that none makes another fail: of templates, with first words as
     # slots, with gaps, and word for word
     sort = F.when(F.col("gap") >= 0, "gap").when(F.col("lane") == _WIDE, "wide").otherwise("template")
@@ -250,12 +250,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         .agg(
             F.max("windows").alias("windows"), F.max("worded").alias("worded"), F.max("size").alias("size"), F.max(F.col("passage") - WINDOW).alias("more"), F.min("at").alias("least"),
             F.collect_set(F.when(whole, F.col("at"))).alias("at"), F.collect_set(F.when(whole & F.col("says"), F.col("at"))).alias("saying"), F.collect_set(firm).alias("firm"),
-            F.sort_array(F.collect_set(F.when(whole, firm))).alias("row"), _union("pairs").alias("pairs"), _union("known").alias("known"),
+            F.sort_array(F.collect_set(F.when(whole, firm))).alias("row"), _union("pairs").alias("pairs"), _union("named").alias("named"), _union("known").alias("known"),
         )
         .withColumn("values", F.size(F.array_distinct(F.transform("pairs", lambda x: x["b"]))))
-        .withColumn("clashes", F.size("pairs") - F.col("values"))
+        # a value with several replacements, or names with one and the same; numbers may come to be equal
+        .withColumn("clashes", F.size("pairs") - F.col("values") + F.size("named") - F.size(F.array_distinct(F.transform("named", lambda x: x["d"]))))
         .withColumn("values", F.when(F.col("sort") == "wide", F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["b"] != x["d"]), lambda x: x["b"])))).otherwise(F.col("values")))
-        .withColumn("clashing", F.col("clashes") > (1 - consistent) * F.col("values"))
+        .withColumn("clashing", 100 * F.col("clashes") > (100 - round(100 * consistent)) * F.col("values"))
         .withColumn("good", ~F.col("clashing") & (2 * F.size("known") >= F.col("size")))
     )
     share = lambda found, of: F.struct((F.col(found) / F.greatest(F.col(of), F.lit(1))).alias("coverage"), F.col(found).cast("long").alias("n_found"), F.col(of).cast("long").alias("n_windows"))
@@ -281,7 +282,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns."""
+    """The documents that hold no benchmark item, with all their columns.
+
+    A null or empty text holds nothing and stays, as does a row without a doc_id; rows that share a doc_id stay or go
+    together; repeated or null items change nothing; an empty benchmark drops nothing; an empty table gives an empty
+    result.
+    """
     # stored, its size is known before the join: while it is small the documents need no shuffle
     gone = stored(contaminated(docs, benchmark).filter("doc_id is not null").select("doc_id").distinct(), "contaminated")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

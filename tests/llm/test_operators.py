@@ -552,3 +552,33 @@ def test_language_id_rejects_unseen_languages_and_noise(spark):
     assert held.filter("rejected and lang_pred <> 'und'").count() <= held.count() / 500
     short = sample.filter("length(text) between 1 and 40")
     assert langid.accepted(short, model).count() >= 0.98 * short.count()
+
+
+def test_decontamination_checks_slots_both_ways(spark):
+    item = "At the fair our Maria gave some pens to our Paul and then our Anna gave some to our Oskar while our Emil took none of them home"
+    benchmark = spark.createDataFrame([(0, item)], "item_id long, text string")
+    swap = lambda *to: __import__("functools").reduce(lambda t, x: t.replace(*x), zip(("Maria", "Paul", "Anna", "Oskar", "Emil"), to), item)
+    # all names new; two names become one, which one clash in five values allows; three become one
+    texts = [swap("Sarah", "Peter", "Lena", "Jonas", "Felix"), swap("Sarah", "Peter", "Lena", "Jonas", "Peter"), swap("Sarah", "Sarah", "Sarah", "Jonas", "Felix"), item]
+    got = {r.doc_id for r in decontam.contaminated(docs(spark, texts), benchmark).collect()}
+    assert got == {0, 1, 3}
+
+
+def test_decontamination_finds_what_brute_force_finds(spark):
+    """Every document that holds all words of an item in a row, in any case, is found; no document without 8 of them is."""
+    sf_dir = "/root/testdata/sf0.01"
+    table, items = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(table, items).collect()}
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    said = {r.item_id: split(r.text) for r in items.collect()}
+    windows = {}
+    for i, w in said.items():
+        for a in range(len(w) - 7):
+            windows.setdefault(tuple(w[a : a + 8]), set()).add(i)
+    whole, some = set(), set()
+    for r in table.select("doc_id", "text").collect():
+        w = split(r.text)
+        near = set().union(*(windows.get(tuple(w[a : a + 8]), ()) for a in range(len(w) - 7)))
+        some |= {(r.doc_id, i) for i in near}
+        whole |= {(r.doc_id, i) for i in near if " ".join(said[i]) in " ".join(w)}
+    assert whole and whole <= got <= some
