@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Bits of a Bloom bitmap for each value, and the most bits of one: a proven bound of 16 MB on what is sent to the executors.
-BLOOM_BITS, MOST_BITS = 8, 27
+BLOOM_BITS, MOST_BITS = 256, 27
 
 
 def bloom(hashes: DataFrame, column: str) -> np.ndarray:

@@ -187,8 +187,8 @@ def _asked(held: DataFrame, homes: DataFrame, near: DataFrame) -> DataFrame:
     those that more than WIDE groups hold, but not so many that none would be left, and opens the groups whose union has
     as many of the rest as it then needs.  Members of its own component are no reason to open a group.
     """
-    named = held.select("set_id", "need", F.explode("tokens").alias("token")).join(homes.filter("not guest").select("set_id", "grp"), "set_id")
-    named = stored(named.join(near, F.col("set_id") == F.col("node"), "left").select("token", "set_id", "need", "grp", "component"), "named")
+    named = held.join(homes.filter("not guest").select("set_id", "grp"), "set_id").join(near, F.col("set_id") == F.col("node"), "left")
+    named = stored(named.select(F.explode("tokens").alias("token"), "set_id", "need", "grp", "component"), "named")
     matrix = named.select("token", F.col("grp").alias("other"), F.col("component").alias("c")).distinct()
     wide = matrix.groupBy("token").agg(F.count("*").alias("wide"), F.min("other").alias("lo"), F.max("other").alias("hi")).filter("lo < hi").select("token", "wide")
     of_set = W.partitionBy("set_id")
@@ -207,10 +207,21 @@ def _queries(asked: DataFrame, homes: DataFrame, tokens: DataFrame) -> DataFrame
     counts = asked.groupBy("other").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("shares"))
     queries = asked.join(counts, "other").select(F.col("other").alias("grp"), F.pmod(F.xxhash64("set_id"), F.col("shares")).cast("int").alias("share"), "set_id", F.lit(True).alias("asks"))
     members = homes.join(counts, F.col("grp") == F.col("other")).select("grp", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set_id", F.lit(False).alias("asks"))
-    rows = queries.unionByName(members).join(tokens.select("set_id", "tokens"), "set_id")
+    wanted = stored(queries.unionByName(members), "queries")
+    rows = wanted.join(_passed(tokens.select("set_id", "tokens"), bloom(wanted, "set_id")), "set_id")
     return rows.select("grp", "share", "set_id", "asks", (~F.col("asks")).alias("inside"), F.lit(False).alias("centre"), "tokens")
 
 
+def _passed(tokens: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The sets that the bitmap may hold: few of all sets open groups or are opened, and only these are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bloom(bitmap, batch.column(0).to_numpy())))
+
+    return tokens.mapInArrow(run, "set_id long, tokens array<long>")
+
+
 def _opened(rows: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between the sets that ask and those inside, for each group and share of its queries.
 

@@ -191,8 +191,9 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
     """
     sized = keep(docs.select("doc_id", "source", words().alias("size")))
     plan = _copies(sized, weights, share, most, block, seed).filter("n_copies > 0 or same > 1")
-    plan = stored(plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "same", "k", "n_copies"), "plan")
-    again = stored(plan.filter("same > 1").select("_id", "_source", "_size").distinct(), "again")
+    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "same", "k", "n_copies")
+    again = sized.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.count("*").alias("same")).filter("same > 1").drop("same")
+    again = stored(again.select("_id", "_source", "_size"), "again")
     key = F.col("doc.doc_id").eqNullSafe(F.col("_id")) & F.col("doc.source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
     rows = docs.select(F.struct("*").alias("doc"), words().alias("size"))
     if again.isEmpty():

@@ -68,6 +68,11 @@ def luhn(digits: Column) -> Column:
     return F.when(F.length(digits).between(12, 19), total % 10 == 0).otherwise(False)
 
 
+def _worth(text: Column) -> tuple[Column, Column]:
+    """Whether a text has digits, and signs of an address: without, no generator of numbers, or of addresses, can match."""
+    return text.rlike("[0-9]"), text.rlike("(?i)@| at |[\\[({] ?at")
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, h, kind, base, start, end, span, before, after): all spans proposed; h tells the texts of a doc_id apart.
 
@@ -75,7 +80,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     up to a match being summed over the document.  All of it is linear in the text and the number of matches.
     """
     text = none_as_empty()
-    digits, marks = text.rlike("[0-9]"), text.rlike("@|(?i) at |[\\[({] ?at")
+    digits, marks = _worth(text)
     # the marks themselves become another control character first, which no generator tells from them
     found = docs.select("doc_id", F.xxhash64("text").alias("h"), F.translate(text, OPEN + CLOSE, "\x03\x03").alias("text"), digits.alias("digits"), marks.alias("marks"))
     marked = [F.when(F.col("marks" if kind == "email" else "digits"), F.regexp_replace("text", pattern, f"{OPEN}$0{CLOSE}")).alias(f"t{g}") for g, (kind, _, pattern) in enumerate(GENERATORS)]
@@ -288,11 +293,15 @@ def redacted(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None)
     cuts = found.groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_g")).agg(F.array_sort(F.collect_list(F.struct("from", "end", "kind"))).alias("_cuts"))
     # stored, their size is known before the join: while they are small the documents need no shuffle
     cuts = stored(cuts, "cuts")
-    # the document travels as one value, so that no name of its columns can clash with those added here
-    rows = docs.select(F.struct("*").alias("doc")).join(cuts, F.col("doc.doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("doc.text") == F.col("_g")), "left")
+    # the document travels as one value, so that no name of its columns can clash with those added here; texts in which
+    # no generator can match take no part in the join
+    rows = docs.select(F.struct("*").alias("doc"))
+    searched = F.coalesce(_worth(F.col("doc.text"))[0] | _worth(F.col("doc.text"))[1], F.lit(False))
+    plain = rows.filter(~searched).select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+    rows = rows.filter(searched).join(cuts, F.col("doc.doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("doc.text") == F.col("_g")), "left")
     body = F.expr(
         "CASE WHEN _cuts IS NULL THEN doc.text ELSE concat(array_join(transform(_cuts, (c, i) -> concat("
         "substring(doc.text, cast(IF(i = 0, 0, _cuts[greatest(i - 1, 0)].end) AS int) + 1, cast(c.from - IF(i = 0, 0, _cuts[greatest(i - 1, 0)].end) AS int)), '[', upper(c.kind), ']')), ''), "
         "substring(doc.text, cast(_cuts[size(_cuts) - 1].end AS int) + 1)) END"
     )
-    return rows.select(*(body.alias("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns))
+    return rows.select(*(body.alias("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns)).unionByName(plain)
