@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bits of a Bloom bitmap for each value, and the most bits of one: a proven bound of 16 MB on what is sent to the executors.
-BLOOM_BITS, MOST_BITS = 256, 27
+#: Bits of a Bloom bitmap for each value, of which two are set, and the most bits of one: a proven bound of 16 MB on what
+#: is sent to the executors.
+BLOOM_BITS, MOST_BITS = 128, 27
 
 
 def bloom(hashes: DataFrame, column: str) -> np.ndarray:
@@ -32,11 +33,13 @@ def bloom(hashes: DataFrame, column: str) -> np.ndarray:
     Beyond, more values pass that are not in the column: callers join what passes with the column itself.
     """
     bits = min(MOST_BITS, max(16, (BLOOM_BITS * hashes.count()).bit_length()))
-    cell = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    cells = F.array(F.col(column), F.shiftrightunsigned(column, 64 - bits))
+    cell = F.col("cell").bitwiseAND(F.lit((1 << bits) - 1))
     with released(hashes.sparkSession):
         words = (
             hashes.filter(F.col(column).isNotNull())
-            .select(F.shiftright(cell, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+            .select(F.explode(cells).alias("cell"))
+            .select(F.shiftright(cell, 6).alias("word"), F.expr("shiftleft(1L, cast(cell & 63 as int))").alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bits"))
             .toArrow()
@@ -47,8 +50,12 @@ def bloom(hashes: DataFrame, column: str) -> np.ndarray:
 
 
 def in_bloom(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    cell = hashes.view(np.int64) & (64 * len(bitmap) - 1)
-    return ((bitmap[cell >> 6] >> (cell & 63)) & 1).astype(bool)
+    low = hashes.view(np.int64) & (64 * len(bitmap) - 1)
+    out = ((bitmap[low >> 6] >> (low & 63)) & 1).astype(bool)
+    at = np.flatnonzero(out)
+    high = (hashes.view(np.uint64)[at] >> np.uint64(64 - (64 * len(bitmap)).bit_length() + 1)).astype(np.int64)
+    out[at] = (bitmap[high >> 6] >> (high & 63)) & 1
+    return out
 
 
 def none_as_empty(text: str = "text") -> Column:

@@ -288,13 +288,19 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # the other texts of the doc_id that names a component; blank texts are linked with nothing
     twice = found.filter("component is not null and doc_id = component_id").groupBy("component").agg(F.min("h").alias("kept"), F.count("*").alias("texts")).filter("texts > 1")
     beside = found.join(twice, "component").filter("doc_id = component_id and h <> kept").select("doc_id", "h")
-    # stored, their size is known before the join: while it is small the documents need no shuffle
-    gone = stored(found.filter("component_id <> doc_id").select("doc_id", "h").unionByName(beside), "gone")
-    again = stored(found.filter("same > 1 and component_id = doc_id").select("doc_id", "h"), "again").join(gone, ["doc_id", "h"], "left_anti")
-    forget(classes)
+    out = found.select("doc_id", "h", (F.col("component_id") != F.col("doc_id")).alias("out")).join(beside.withColumn("beside", F.lit(True)), ["doc_id", "h"], "left")
+    out = stored(out.select("doc_id", "h", (F.col("out") | F.coalesce("beside", F.lit(False))).alias("out")), "out")
+    # stored, their size is known before the join: while it is small the documents need no shuffle; a doc_id alone names
+    # what goes unless one of its texts stays
+    of_id = out.groupBy("doc_id").agg(F.min("out").alias("all"), F.max("out").alias("some"))
+    gone = stored(of_id.filter("all").select("doc_id").sort("doc_id"), "gone")
+    part = stored(out.filter("out").join(of_id.filter("some and not all").select("doc_id"), "doc_id").select("doc_id", "h"), "gone")
+    again = stored(found.filter("same > 1").select("doc_id", "h").join(out.filter("not out").select("doc_id", "h"), ["doc_id", "h"]), "again")
+    forget(classes, out)
     key = [F.col("doc.doc_id") == F.col("doc_id"), F.xxhash64("doc.text") == F.col("h")]
-    rows = docs.select(F.struct("*").alias("doc"))
-    left = rows.join(gone, key, "left_anti")
+    left = docs.select(F.struct("*").alias("doc")).join(gone, key[0], "left_anti")
+    if not part.isEmpty():
+        left = left.join(part, key, "left_anti")
     if not again.isEmpty():
         first = W.partitionBy("doc_id", "h").orderBy(F.xxhash64("doc"))
         several = left.join(again, key).withColumn("place", F.row_number().over(first)).filter("place = 1").select("doc")

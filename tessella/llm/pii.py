@@ -5,7 +5,8 @@ formats and their look-alikes, score each candidate by its format and context; a
 held-out texts, selects what is redacted.  A candidate counts as true in the fit only if it is the whole of the span.
 Spans that the strict rules of a kind accept are always kept; what only such a rule proposed and then refused is not.
 
-The trees run as one SQL expression, so scoring stays in generated code.
+The trees run as one SQL expression, so scoring stays in generated code.  They are fitted on the driver, anew in each
+call, from a bounded number of made candidates.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ import json
 import random
 import re
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,9 +24,9 @@ from .common import forget, keep, none_as_empty, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Made texts that the trees are fitted on; trees and their depth; precision that a threshold must reach when held out.
-SAMPLE, TREES, DEPTH, PRECISION = 6000, 16, 4, 0.98
-#: Models by these four numbers, on which alone a fit depends: no row of any table is learned from.
-_FITTED: dict[tuple, tuple[str, dict[str, float]]] = {}
+SAMPLE, TREES, DEPTH, PRECISION = 6000, 20, 4, 0.98
+#: Share of each tree's step that is taken; candidates of a leaf's weight at least; cut points tried for a feature.
+RATE, LEAST, CUTS = 0.3, 2.0, 32
 
 # The base rules, then wider generators: (kind, base, pattern).  Starts are tied to the start of a run, and repeats are
 # possessive or bounded where that cannot change a match, so that no text of any length is searched in quadratic time or
@@ -186,46 +186,77 @@ def _made_texts(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
     return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), schema)).alias("r")).select("r.*")
 
 
-def _as_sql(tree: str) -> str:
-    """A tree's printed form as a CASE expression."""
-    lines = [x for x in tree.splitlines()[1:] if x.strip()]
-
-    def read(at: int) -> tuple[str, int]:
-        if m := re.match(r"\s*Predict: (\S+)", lines[at]):
-            return f"{float(m[1])!r}D", at + 1
-        m = re.match(r"\s*If \(feature (\d+) (<=|in) (\S+)\)", lines[at])
-        low, at = read(at + 1)
-        high, at = read(at + 1)  # past the Else
-        return f"CASE WHEN {FEATURES[int(m[1])]} <= {float(m[3])!r}D THEN {low} ELSE {high} END", at
-
-    return read(0)[0]
+def _tree(bins: np.ndarray, cuts: list[np.ndarray], slope: np.ndarray, curve: np.ndarray, rows: np.ndarray, depth: int) -> tuple | float:
+    """A regression tree by second-order gains: (feature, cut, tree up to the cut, tree above), or a leaf's value."""
+    g, h = slope[rows].sum(), curve[rows].sum()
+    best = (1e-6, -1, -1)
+    if depth and h > 2 * LEAST:
+        for f, points in enumerate(cuts):
+            if len(points):
+                left_g, left_h = (np.cumsum(np.bincount(bins[rows, f], x[rows], len(points) + 1))[:-1] for x in (slope, curve))
+                gain = left_g**2 / (left_h + 1) + (g - left_g) ** 2 / (h - left_h + 1) - g**2 / (h + 1)
+                gain[(left_h < LEAST) | (h - left_h < LEAST)] = -1.0
+                k = int(np.argmax(gain))
+                best = max(best, (float(gain[k]), -f, -k))
+    if best[0] <= 1e-6:
+        return float(RATE * g / (h + 1))
+    f, k = -best[1], -best[2]
+    low = bins[rows, f] <= k
+    return f, float(cuts[f][k]), *(_tree(bins, cuts, slope, curve, x, depth - 1) for x in (rows[low], rows[~low]))
+
+
+def _as_sql(tree: tuple | float) -> str:
+    if isinstance(tree, float):
+        return f"{tree!r}D"
+    feature, cut, low, high = tree
+    return f"CASE WHEN {FEATURES[feature]} <= {cut!r}D THEN {_as_sql(low)} ELSE {_as_sql(high)} END"
+
+
+def _value(tree: tuple | float, x: np.ndarray) -> np.ndarray:
+    if isinstance(tree, float):
+        return np.full(len(x), tree)
+    feature, cut, low, high = tree
+    return np.where(x[:, feature] <= cut, _value(low, x), _value(high, x))
+
+
+def _boosted(x: np.ndarray, y: np.ndarray, trees: int, depth: int) -> list[tuple | float]:
+    """Trees boosted on the logistic loss."""
+    cuts = [np.unique(np.quantile((u[1:] + u[:-1]) / 2, np.linspace(0, 1, CUTS), method="nearest")) if len(u := np.unique(c)) > 1 else u[:0] for c in x.T]
+    bins = np.stack([np.searchsorted(points, c, "left") for points, c in zip(cuts, x.T, strict=True)], axis=1)
+    total, out = np.zeros(len(y)), []
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-total))
+        out.append(_tree(bins, cuts, y - p, p * (1 - p), np.arange(len(y)), depth))
+        total += _value(out[-1], x)
+    return out
 
 
 def fit(spark: SparkSession, n: int = SAMPLE, trees: int = TREES, depth: int = DEPTH, precision: float = PRECISION) -> tuple[str, dict[str, float]]:
     """The boosted trees as a SQL expression over FEATURES, and the score that a candidate of each kind must reach.
 
-    A driver fits each model once.
+    Depends on the parameters alone: no row of any table is learned from.  The driver holds the candidates of n texts.
     """
-    if known := _FITTED.get((n, trees, depth, precision)):
-        return known
     made = keep(_made_texts(spark, n))
     y = (F.col("truth") == F.col("kind")) & (F.col("start") == F.col("from")) & (F.col("end") == F.col("to"))
-    found = featured(keep(candidates(made)).filter("not base")).join(made.select("doc_id", "truth", "from", "to"), "doc_id").withColumn("y", y.cast("double"))
-    rows = keep(found.select("y", "kind", *FEATURES, (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held")).coalesce(2))
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.filter("not held"))
-    model = GBTClassifier(featuresCol="x", labelCol="y", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=24).fit(vectors)
-    score = " + ".join(f"{float(w)!r}D * {_as_sql(t.toDebugString)}" for w, t in zip(model.treeWeights, model.trees, strict=True))
-    score = f"1D / (1D + exp(-2D * ({score})))"
-    # at most SAMPLE scores; the lowest one above which held-out candidates are right often enough
-    scored = sorted(((r["s"], r["kind"], r["y"]) for r in rows.filter("held").select(F.expr(score).alias("s"), "kind", "y").collect()), reverse=True)
+    found = keep(candidates(made).filter("not base"))
+    rows = featured(found).join(made.select("doc_id", "truth", "from", "to"), "doc_id")
+    rows = rows.select("kind", y.cast("double").alias("y"), (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held"), F.array(*FEATURES).alias("x"), "doc_id", "start", "end")
+    rows = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["start"], r["end"], r["kind"]))
+    forget(made, found)
+    kind, held = np.array([r["kind"] for r in rows]), np.array([r["held"] for r in rows])
+    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])
+    model = _boosted(x[~held], y[~held], trees, depth)
+    score = f"1D / (1D + exp(-({' + '.join(map(_as_sql, model))})))"
+    scored = 1 / (1 + np.exp(-sum(_value(tree, x[held]) for tree in model)))
     limits = {}
-    for kind in KINDS:
-        own, right, limits[kind] = [(s, y) for s, k, y in scored if k == kind], 0.0, 0.99
-        for i, (s, y) in enumerate(own, 1):
-            right += y
-            if right >= precision * i and (i == len(own) or own[i][0] < s):
-                limits[kind] = s
-    return _FITTED.setdefault((n, trees, depth, precision), (score, {k: max(v, 0.5) for k, v in limits.items()}))
+    for name in KINDS:
+        # the lowest score above which held-out candidates are right often enough
+        own = kind[held] == name
+        order = np.argsort(-scored[own], kind="stable")
+        s, right = scored[own][order], np.cumsum(y[held][own][order])
+        ends = np.flatnonzero((right >= precision * np.arange(1, len(s) + 1)) & np.append(s[1:] < s[:-1], True)) if len(s) else np.zeros(0, int)
+        limits[name] = max(0.5, float(s[ends[-1]]) - 1e-9) if len(ends) else 0.99
+    return score, limits
 
 
 def spans(docs: DataFrame, model: tuple[str, dict[str, float]] | None = None) -> DataFrame:
