@@ -33,12 +33,12 @@ def bloom(hashes: DataFrame, column: str) -> np.ndarray:
     Beyond, more values pass that are not in the column: callers join what passes with the column itself.
     """
     bits = min(MOST_BITS, max(16, (BLOOM_BITS * hashes.count()).bit_length()))
-    cells = F.array(F.col(column), F.shiftrightunsigned(column, 64 - bits))
+    values = hashes.filter(F.col(column).isNotNull())
     cell = F.col("cell").bitwiseAND(F.lit((1 << bits) - 1))
     with released(hashes.sparkSession):
         words = (
-            hashes.filter(F.col(column).isNotNull())
-            .select(F.explode(cells).alias("cell"))
+            values.select(F.col(column).alias("cell"))
+            .unionAll(values.select(F.shiftrightunsigned(column, 64 - bits).alias("cell")))
             .select(F.shiftright(cell, 6).alias("word"), F.expr("shiftleft(1L, cast(cell & 63 as int))").alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bits"))

@@ -29,6 +29,8 @@ from .words import all_shingles, set_id, shingles
 ORDERS = (0, 0x5A5A5A5A5A5A5A5A)
 #: Sets and tokens of a group, and queries that a task holds beside it; longer sets are a group of their own.
 PART, PART_TOKENS, QUERIES = 512, 1 << 18, 1024
+#: Times that a home is replaced by its own home, which brings sets together that agree on centres by way of others.
+JUMPS = 2
 #: A token held in more groups than this is left out of a query, as long as the rest of the query can decide.
 WIDE = 16
 #: Cells of the frequency sketch; the driver and each worker hold this many counts, however large the corpus.
@@ -161,8 +163,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def _homes(held: DataFrame) -> DataFrame:
     """(set_id, grp, centre, guest): the group of each set, and once more the centres as guests of the parts they are not in.
 
-    A set's home is the least of itself and the centres that it shares enough tokens with; a token's centres are the
-    ends of a few orders of its holders, by their hashed names.
+    A set's home is the least of itself and the centres that it shares enough tokens with, else the one that it shares
+    most with, or a home's home; a token's centres are the ends of a few orders of its holders, by their hashed names.
     """
     of_token = held.select("set_id", "need", F.explode("tokens").alias("token"))
     name = F.col("set_id")
@@ -171,8 +173,12 @@ def _homes(held: DataFrame) -> DataFrame:
     found = F.explode(F.array_distinct(F.array(*(f"c{j}" for j in range(len(ends))))))
     pairs = of_token.join(centres, "token").select("set_id", "need", found.alias("v")).filter("v < set_id")
     pairs = pairs.groupBy("set_id", "v").agg(F.count("*").alias("both"), F.max("need").alias("need"))
-    best = pairs.filter("both >= need").groupBy("set_id").agg(F.min("v").alias("v"))
+    best = pairs.groupBy("set_id").agg(F.coalesce(F.min(F.when(F.col("both") >= F.col("need"), F.col("v"))), F.max_by("v", F.struct("both", -F.col("v")))).alias("v"))
     sets = stored(held.select("set_id", "n").join(best, "set_id", "left").select("set_id", "n", F.coalesce("v", "set_id").alias("home")), "sets")
+    for _ in range(JUMPS):
+        before, up = sets, sets.select(F.col("set_id").alias("at"), F.col("home").alias("up"))
+        sets = stored(sets.join(up, F.col("home") == F.col("at")).select("set_id", "n", F.col("up").alias("home")), "sets")
+        forget(before)
     size = sets.groupBy("home").agg(F.ceil(F.count("*") / PART).alias("many"), F.ceil(F.sum("n") / PART_TOKENS).alias("long"))
     sets = sets.join(size, "home").withColumn("grp", F.xxhash64("home", F.pmod(F.xxhash64("set_id"), F.greatest("many", "long"))))
     guests = sets.filter("set_id <> home").select(F.col("home").alias("set_id"), "grp", F.lit(True).alias("centre"), F.lit(True).alias("guest")).distinct()
