@@ -133,8 +133,9 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     homes = stored(_homes(held), "homes")
     tokens = stored(_tokens(docs, k, homes), "tokens")
     grouped = homes.groupBy("grp").agg(F.count("*").alias("sets")).filter("sets > 1").select("grp")
-    links = stored(_opened(tokens.select("grp", F.lit(0).alias("share"), "set_id", F.lit(True).alias("asks"), F.lit(True).alias("inside"), "centre", "tokens").join(grouped, "grp"), percent), "links")
-    near = stored(components(links), "near")
+    links = stored(_opened(tokens.select("grp", F.lit(0).alias("share"), "set_id", F.lit(True).alias("asks"), F.lit(True).alias("inside"), "centre", "guest", "tokens").join(grouped, "grp"), percent), "links")
+    # all that links to a centre has its name in each part of its group: parts of components, without a round of joins
+    near = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
     asked = stored(_asked(held, homes, near), "asked")
     more = stored(_opened(_queries(asked, homes.filter("not guest"), tokens.filter("not guest")), percent), "links")
@@ -144,7 +145,7 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     named = named.join(least, "component").select("set_id", "component_id", "component")
     out = rows.join(named, "set_id", "left").select("doc_id", "h", "n", "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     out = stored(out, "classes")
-    forget(rows, held, homes, tokens, links, near, asked, more)
+    forget(rows, held, homes, tokens, links, asked, more)
     return out
 
 
@@ -215,7 +216,7 @@ def _queries(asked: DataFrame, homes: DataFrame, tokens: DataFrame) -> DataFrame
     members = homes.join(counts, F.col("grp") == F.col("other")).select("grp", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "set_id", F.lit(False).alias("asks"))
     wanted = stored(queries.unionByName(members), "queries")
     rows = wanted.join(_passed(tokens.select("set_id", "tokens"), bloom(wanted, "set_id")), "set_id")
-    return rows.select("grp", "share", "set_id", "asks", (~F.col("asks")).alias("inside"), F.lit(False).alias("centre"), "tokens")
+    return rows.select("grp", "share", "set_id", "asks", (~F.col("asks")).alias("inside"), F.lit(False).alias("centre"), F.lit(False).alias("guest"), "tokens")
 
 
 def _passed(tokens: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -229,14 +230,15 @@ def _passed(tokens: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
 
 def _opened(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between the sets that ask and those inside, for each group and share of its queries.
+    """(u, v) of each set that is linked in its group: v is the centre, if links between those that ask and those inside
+    lead to it, else the least set that they lead to.
 
-    The links of a task are as many as it needs to join what is linked, so pairs of copies are never written out.  Sets
+    So a task writes a row for each of its sets at most, never the pairs of copies; guests have their row elsewhere.  Sets
     that link to the centre are joined by it and need not be compared with each other.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        names, asks, inside, centre = (table[c].to_numpy() for c in ("set_id", "asks", "inside", "centre"))
+        names, asks, inside, centre, guest = (table[c].to_numpy() for c in ("set_id", "asks", "inside", "centre", "guest"))
         lists = table["tokens"].combine_chunks() if isinstance(table["tokens"], pa.ChunkedArray) else table["tokens"]
         flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         sizes = np.diff(ends)
@@ -248,14 +250,16 @@ def _opened(rows: DataFrame, percent: int) -> DataFrame:
         owner = owner[order]
         union, first = np.unique(held[order], return_index=True)
         last = np.append(first[1:], len(held))
-        root = {int(x): int(x) for x in names}
+        # the first in this order of those that are linked names them all
+        rank = np.empty(len(names), np.int64)
+        rank[np.lexsort((names, ~centre))] = np.arange(len(names))
+        root = list(range(len(names)))
 
         def find(x: int) -> int:
             while root[x] != x:
                 root[x] = x = root[root[x]]
             return x
 
-        us, vs = [], []
         done = np.zeros(len(names), bool)
         for q in np.argsort(~centre, kind="stable"):
             if not asks[q] or done[q]:
@@ -272,12 +276,11 @@ def _opened(rows: DataFrame, percent: int) -> DataFrame:
             if centre[q]:
                 done[partners] = True
             for i in partners.tolist():
-                x, y = find(int(names[q])), find(int(names[i]))
-                if x != y:
-                    root[x] = y
-                    us.append(names[q])
-                    vs.append(names[i])
-        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+                x, y = sorted((find(int(q)), find(i)), key=rank.__getitem__)
+                root[y] = x
+        top = np.array([find(i) for i in range(len(names))], np.int64)
+        out = np.flatnonzero((np.bincount(top, minlength=len(names))[top] > 1) & ~guest)
+        return pa.table({"u": pa.array(names[out], pa.int64()), "v": pa.array(names[top[out]], pa.int64())})
 
     return rows.groupBy("grp", "share").applyInArrow(run, "u long, v long")
 
