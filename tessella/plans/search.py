@@ -188,10 +188,10 @@ def knn_lsh(spark, sf_dir):
 def geojson_roundtrip(spark, sf_dir):
     p = points(spark, sf_dir, "supplier", "s_suppkey", "id")
     path = f"{shared_dir(spark)}/tessella/geojson-{uuid.uuid4().hex}"
-    p.select(tables.to_features().alias("value"), F.col("id").cast("string").alias("id")).write.partitionBy("id").text(path)
-    rows = spark.read.text(path).withColumn("id", F.col("id").cast("long"))
-    parsed = F.from_json("value", tables.FEATURE)["geometry"]["coordinates"]
-    return rows.select("id", F.round(parsed[0], 6).alias("lon"), F.round(parsed[1], 6).alias("lat"))
+    p.select(tables.to_features(key="id").alias("value")).write.text(path)
+    feature = F.from_json("value", tables.FEATURE.replace("type:string,", "type:string,id:long,", 1))
+    rows = spark.read.text(path).select(feature.alias("f")).select("f.id", F.col("f.geometry.coordinates").alias("at"))
+    return rows.select("id", F.round(F.col("at")[0], 6).alias("lon"), F.round(F.col("at")[1], 6).alias("lat"))
 
 
 @add("SELECT s_suppkey, s_name, s_acctbal FROM supplier")

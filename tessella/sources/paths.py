@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
 
 def dataset(directory: str, region: str, version: str, embeddings: bool = False) -> str:
@@ -17,5 +18,10 @@ def postprocessed(directory: str, source: str, threshold: float) -> str:
     return f"{directory}/{os.path.splitext(os.path.basename(source))[0]}_prob_{threshold}_postprocess.parquet"
 
 
+def exported(directory: str, kind: str, when: datetime) -> str:
+    """A GeoJSON file named by the second it is written in."""
+    return f"{directory}/{kind.lower()}_{when:%Y%m%d_%H%M%S}.geojson"
+
+
 def labels(directory: str, kind: str) -> str:
     return f"{directory}/{kind.lower()}_labels.parquet"

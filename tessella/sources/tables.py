@@ -81,9 +81,10 @@ def encode_points(lon: Column, lat: Column) -> Column:
     return run(lon, lat)
 
 
-def to_features(lon: str = "lon", lat: str = "lat") -> Column:
-    """A GeoJSON feature of a point, geometry only, as text."""
-    return F.to_json(F.struct(F.lit("Feature").alias("type"), F.create_map().cast("map<string,string>").alias("properties"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry")))
+def to_features(lon: str = "lon", lat: str = "lat", key: str | None = None) -> Column:
+    """A GeoJSON feature of a point, geometry only, as text; `key` names a column that becomes the feature's id."""
+    named = [F.col(key).alias("id")] if key else []
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), *named, F.create_map().cast("map<string,string>").alias("properties"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry")))
 
 
 FEATURE = "struct<type:string,geometry:struct<type:string,coordinates:array<double>>>"
@@ -96,6 +97,11 @@ def from_features(df: DataFrame, text: str = "value") -> DataFrame:
     return one.select(F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"))
 
 
+def config(spark: SparkSession, path: str) -> dict:
+    """A JSON document of settings, read by Spark so that it may lie in any store that the session reads."""
+    return spark.read.option("multiLine", True).json(path).first().asDict(recursive=True)
+
+
 def polygon(spark: SparkSession, path: str) -> list[tuple[float, float]]:
     """Outer ring of feature 0 of a GeoJSON file; later features and holes are not read."""
     row = spark.read.option("multiLine", True).json(path).select(F.col("features")[0]["geometry"]["coordinates"].alias("c")).first()

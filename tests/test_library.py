@@ -173,3 +173,11 @@ def test_vectors_and_raster(spark):
     rgb = spark.createDataFrame([(0.0, 0.0, 0.0), (0.0, 1.0, 0.0)], "r double, g double, b double")
     h, s, v = raster.hsv(F.col("r"), F.col("g"), F.col("b"))
     assert [tuple(x) for x in rgb.select(h, s, v).collect()] == [(0.0, 0.0, 0.0), (pytest.approx(1 / 3), 1.0, 1.0)]
+
+
+def test_settings_and_time_stamped_names(spark, tmp_path):
+    from datetime import datetime
+
+    (tmp_path / "ui.json").write_text('{"mgrs_ids": ["16PHC", "17PKT"],\n "index_dim": 384, "imagery": {"basemap": "x"}}')
+    assert tables.config(spark, str(tmp_path / "ui.json")) == {"imagery": {"basemap": "x"}, "index_dim": 384, "mgrs_ids": ["16PHC", "17PKT"]}
+    assert paths.exported("o", "POS", datetime(2024, 3, 5, 7, 8, 9)) == "o/pos_20240305_070809.geojson"
