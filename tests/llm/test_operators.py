@@ -582,3 +582,16 @@ def test_decontamination_finds_what_brute_force_finds(spark):
         some |= {(r.doc_id, i) for i in near}
         whole |= {(r.doc_id, i) for i in near if " ".join(said[i]) in " ".join(w)}
     assert whole and whole <= got <= some
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).select("doc_id", "text", "lang", "source", "n_chars").unionByName(odd(spark).select("doc_id", "text", "lang", "source", "n_chars")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, "a b"), (1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "copy_no"] and out.count() > 0 and not out.filter("text is null").count()
+    none = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, str(tmp_path))
+        assert none.count() == 0
