@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A few rows of the driver as a local relation.
+
+    From a list of tuples Spark makes an RDD instead, which has no known size and is read through Python workers of its own
+    kind on the executors; they stay beside those of the operators.
+    """
+    return spark.createDataFrame(pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema))
+
+
 #: Bits of a Bloom bitmap for each value, of which two are set, and the most bits of one: a proven bound of 16 MB on what
 #: is sent to the executors.
 BLOOM_BITS, MOST_BITS = 128, 27

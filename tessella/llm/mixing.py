@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, stored
+from .common import keep, local, stored
 from .words import count_words
 
 #: Weights of the sources by code point, repeating; share of all words that the mix takes; most copies of a document.
@@ -40,6 +40,10 @@ def _words(column: pa.Array) -> pa.Array:
     return pa.array(count_words(column), pa.int64())
 
 
+#: Not to be moved: a filter that is pushed below it counts the words once more, in a second Python worker for each task.
+_words = _words.asNondeterministic()
+
+
 def words(text: str | Column = "text") -> Column:
     """Number of `[^\\x20\\x09-\\x0D]+` in a text; null has none."""
     return _words(text)
@@ -145,9 +149,9 @@ def _copies(sized: DataFrame, weights: tuple[float, ...], share: float, most: fl
     # a row for each source, twice on the driver: names and sums
     totals = {r["source"]: (r["words"] or 0, r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()}
     goal = targets({s: w for s, (w, _) in totals.items()}, weights, share, most)
-    schema = "of string, source_size long, target double, ratio double, n long"
     # local rows, so that Spark knows their size and broadcasts them only below its threshold
-    per_source = spark.createDataFrame([(s, w, goal[s], goal[s] / w if w else 0.0, n) for s, (w, n) in totals.items()], schema)
+    schema = pa.schema({"of": pa.string(), "source_size": pa.int64(), "target": pa.float64(), "ratio": pa.float64(), "n": pa.int64()})
+    per_source = local(spark, [(s, w, goal[s], goal[s] / w if w else 0.0, n) for s, (w, n) in totals.items()], schema)
 
     named = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("same"))
     named = named.join(per_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
@@ -170,7 +174,7 @@ def _copies(sized: DataFrame, weights: tuple[float, ...], share: float, most: fl
         left = flown.filter((F.col("p") > EPSILON) & (F.col("p") < 1 - EPSILON))
         level += 1
         counts = {r["source"]: r["n"] for r in left.groupBy("source").agg(F.count("*").alias("n")).collect()}
-        left = left.join(spark.createDataFrame(list(counts.items()), "of string, n long"), F.col("source").eqNullSafe(F.col("of")))
+        left = left.join(local(spark, list(counts.items()), pa.schema({"of": pa.string(), "n": pa.int64()})), F.col("source").eqNullSafe(F.col("of")))
         left = left.withColumn("block", F.pmod(F.xxhash64("uid", "size", F.lit(seed + level)), F.ceil(F.col("n") / block))).select("source", "block", "uid", "size", "p")
 
     # rows alike in all three are told apart by a number only, so a count of those that landed on 1 is enough

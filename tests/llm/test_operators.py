@@ -116,6 +116,12 @@ def test_mix_meets_targets(spark):
     assert mixing.mixed(docs(spark, texts)).columns == [c for c in docs(spark, texts).columns if c != "copy_no"] + ["copy_no"]
 
 
+def test_mix_counts_words_once_without_workers_of_another_kind(spark):
+    plan = mixing.mixed(docs(spark, made(60, 7)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "LogicalRDD [of#" not in plan and "LocalRelation [of#" in plan
+
+
 def test_targets_stop_and_reshare():
     got = mixing.targets({"a": 10, "b": 1000, None: 100})
     assert got["a"] == 20 and sum(got.values()) == pytest.approx(1665) and got[None] <= 200
